@@ -31,9 +31,25 @@ TOPIC_FIELDS = {
 def project_payload(records: DataFrame, topic: str) -> DataFrame:
     """Columns of a topic's payload; null where a field is missing or the JSON is broken.
 
-    Field names are case-sensitive.
+    Field names are case-sensitive; of a repeated field the first value counts.
+    `json_tuple` reads all fields in one pass but takes the last value, so payloads
+    with a repeated key, and only those, are read field by field.
     """
-    fields = TOPIC_FIELDS[topic].items()
-    return records.select(
-        *[F.get_json_object("payload", f"$.{field}").alias(column) for column, field in fields]
+    fields = TOPIC_FIELDS[topic]
+    payload, repeated = F.col("payload"), F.col("repeated")
+    keys = F.json_object_keys(payload)
+    has_repeat = F.coalesce(F.size(keys) > F.size(F.array_distinct(keys)), F.lit(False))
+    marked = records.select(payload, has_repeat.alias("repeated"))
+    read = marked.select(
+        payload,
+        repeated,
+        F.json_tuple(F.when(~repeated, payload), *fields.values()).alias(*fields),
+    )
+    return read.select(
+        *[
+            F.when(repeated, F.get_json_object(payload, f"$.{field}"))
+            .otherwise(F.col(column))
+            .alias(column)
+            for column, field in fields.items()
+        ]
     )

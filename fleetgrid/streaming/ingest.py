@@ -73,9 +73,9 @@ def ingest(
 ) -> StreamingQuery:
     """Archive a stream of (payload, offset, topic) records and keep snapshots.
 
-    Every batch is written once, to one ORC directory per table and batch, so a
-    batch that is retried replaces its own rows. Topics that had rows and have a
-    known payload then replace their CSV snapshot, read back from that history.
+    Every batch is written once, to one ORC directory per table, query and batch, so
+    a batch that is retried replaces its own rows and no others. Topics that had rows
+    and have a known payload then replace their CSV snapshot, read back from there.
     With `products_root` both products are refreshed in the same batch. `trigger`
     takes the arguments of `DataStreamWriter.trigger`; records of topics missing
     from `topic_tables` are ignored.
@@ -83,16 +83,17 @@ def ingest(
     _check_tables(topic_tables.values())
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        present = _archive(batch, batch_id, topic_tables, history_root)
+        spark = batch.sparkSession
+        # Batch numbers start over with a new checkpoint; the query id does not repeat.
+        name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        present = _archive(batch, name, topic_tables, history_root)
         updated = [topic for topic in present if topic in SNAPSHOTS]
         for topic in updated:
-            part = f"{history_root}/history={topic_tables[topic]}/batch={batch_id}"
-            rows = project_payload(batch.sparkSession.read.orc(part), topic)
+            part = f"{history_root}/history={topic_tables[topic]}/batch={name}"
+            rows = project_payload(spark.read.orc(part), topic)
             write_csv(rows, f"{snapshot_root}/{SNAPSHOTS[topic]}", single_file)
         if products_root and updated:
-            run_micro_batch(
-                batch.sparkSession, snapshot_root, products_root, single_file=single_file
-            )
+            run_micro_batch(spark, snapshot_root, products_root, single_file=single_file)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
@@ -105,12 +106,12 @@ def _now() -> datetime:
 
 
 def _archive(
-    batch: DataFrame, batch_id: int, topic_tables: Mapping[str, str], history_root: str
+    batch: DataFrame, name: str, topic_tables: Mapping[str, str], history_root: str
 ) -> list[str]:
     """Write a batch to the history of each topic; return the topics that had rows."""
     table = F.lit(None).cast("string")
-    for topic, name in topic_tables.items():
-        table = F.when(F.col("topic") == topic, name).otherwise(table)
+    for topic, topic_table in topic_tables.items():
+        table = F.when(F.col("topic") == topic, topic_table).otherwise(table)
     seen = Observation()
     rows = [
         F.count_if(F.col("topic") == topic).alias(f"topic_{i}")
@@ -122,7 +123,7 @@ def _archive(
         .select(
             *_history_columns(_now()),
             table.alias("history"),
-            F.lit(batch_id).alias("batch"),
+            F.lit(name).alias("batch"),
         )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
