@@ -60,24 +60,30 @@ def with_minutes(df: DataFrame, name: str, start: str, end: str) -> DataFrame:
     """Add the whole minutes from text `start` to text `end`, truncated toward zero.
 
     Expects the columns of `with_clocks`. Times are on the wall clock; the session
-    time zone plays no part. Fields of loose text are extracted in a projection of
-    their own, so that each text is matched once.
+    time zone plays no part.
     """
-    split = df.withColumns({f"{n}_fields": _loose_fields(F.col(n), clock(n)) for n in (start, end)})
-    return split.withColumn(
-        name, F.call_function("div", _seconds(end) - _seconds(start), F.lit(60))
-    )
+    seconds = _seconds(F.col(end), clock(end)) - _seconds(F.col(start), clock(start))
+    return df.withColumn(name, F.call_function("div", seconds, F.lit(60)))
 
 
-def _loose_fields(text: Column, clock: Column) -> Column:
+def _seconds(text: Column, clock: Column) -> Column:
+    return F.coalesce(F.unix_timestamp(clock), _loose_seconds(text))
+
+
+def _loose_seconds(text: Column) -> Column:
+    """Seconds since 1970 from unpadded or rolled-over fields, null for other text.
+
+    The rare path is a higher-order function on purpose. Spark evaluates those
+    outside the fused loop, which keeps the loop small enough for the JVM to
+    compile, and binds the split fields, which are used six times, once.
+    """
     fields = F.split(F.regexp_replace(text, _LOOSE_CLOCK, "$1 $2 $3 $4 $5 $6"), " ")
-    return F.when(clock.isNull() & text.rlike(_LOOSE_CLOCK), fields.cast("array<int>"))
+    matched = F.when(text.rlike(_LOOSE_CLOCK), F.array(fields.cast("array<int>")))
+    return F.transform(matched, _rolled_over)[0]
 
 
-def _seconds(name: str) -> Column:
-    fields = F.col(f"{name}_fields")
+def _rolled_over(fields: Column) -> Column:
     new_year = F.make_date(fields[0], F.lit(1), F.lit(1))
     day = F.date_add(F.add_months(new_year, fields[1] - 1), fields[2] - 1)
     time = fields[3].cast("bigint") * 3600 + fields[4] * 60 + fields[5]
-    rolled_over = F.unix_date(day).cast("bigint") * 86400 + time
-    return F.coalesce(F.unix_timestamp(clock(name)), rolled_over)
+    return F.unix_date(day).cast("bigint") * 86400 + time

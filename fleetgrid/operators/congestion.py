@@ -14,13 +14,12 @@ _DATETIMES = ["pickup_datetime", "dropoff_datetime"]
 
 
 def _measured(trips: DataFrame) -> DataFrame:
-    """Trips with both cells, whole minutes and a speed.
+    """Trips with both cells, whole minutes and a speed; unreadable ones only marked.
 
-    Null text can never pass, so those filters come first, where the scan can use
-    them. Unreadable text is only marked (`usable`).
+    Missing distance text is filtered where the scan can do it. What else makes a
+    trip unusable is known only after reading its texts.
     """
-    texts = [*_COORDINATES, *_DATETIMES, "trip_distance"]
-    present = trips.where(" AND ".join(f"{name} IS NOT NULL" for name in texts))
+    present = trips.where(F.col("trip_distance").isNotNull())
     read = with_clocks(with_numbers(present, *_COORDINATES, "trip_distance"), *_DATETIMES)
     timed = with_minutes(read, "minutes", *_DATETIMES)
     located = timed.withColumns({f"{end}_cell": _cell(end) for end in ("pickup", "dropoff")})

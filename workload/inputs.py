@@ -26,16 +26,8 @@ def _padded(number: Column, width: int) -> Column:
 
 def _datetime(month: str, second: Column) -> Column:
     """Second 0 is midnight on the first day of `month`."""
-    return F.concat(
-        F.lit(f"{month}-0"),
-        (_div(second, 86400) + 1).cast("string"),
-        F.lit(" "),
-        _padded(_div(second % 86400, 3600), 2),
-        F.lit(":"),
-        _padded(_div(second % 3600, 60), 2),
-        F.lit(":"),
-        _padded(second % 60, 2),
-    )
+    midnight = F.lit(f"{month}-01 00:00:00").cast("timestamp_ntz")
+    return (midnight + F.make_dt_interval(secs=second)).cast("string")
 
 
 def _coordinate(whole: str, micro_degrees: Column) -> Column:
