@@ -1,3 +1,83 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+import string
+
+from fleetgrid.llm.quality import FLAGGED_WORDS
+
+_SPACES = r"[\x20\x09-\x0D]"
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_LOWER}')"
+
+
+def _words(text: str) -> str:
+    return f"regexp_extract_all(coalesce({text}, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+_LINE_DEDUP = f"""
+with lines as (
+  select doc_id, unnest(split) as line, generate_subscripts(split, 1) as position
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as split from documents)),
+keyed as (select *, {_lower(f"trim(line, {_BLANKS})")} as key from lines),
+shared as (
+  select key, max(doc_id) as keeper from keyed where length(key) >= 40
+  group by key having count(distinct doc_id) >= 5),
+marked as (
+  select k.*, s.key is not null and k.doc_id <> s.keeper as dropped
+  from keyed k left join shared s on k.key = s.key)
+select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by position) filter (not dropped), ''))
+    as kept_sha256
+from marked group by doc_id"""
+
+_FLAGGED = ", ".join(f"'{x}'" for x in FLAGGED_WORDS)
+_N_LINES = "len(lines)"
+_REJECTED = f"""
+  10 * n_symbols > n_words
+  or word_chars < 3 * n_words
+  or word_chars > 10 * n_words
+  or 2 * n_dup_lines > {_N_LINES}
+  or 2 * length(regexp_replace(body, '[^A-Z]', '', 'g'))
+    > length(regexp_replace(body, '[^A-Za-z]', '', 'g'))
+  or 10 * len(list_filter(words, lambda x: regexp_matches(x, '\\p{{L}}'))) < 8 * n_words
+  or 10 * len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…){_SPACES}*$')))
+    > 3 * {_N_LINES}
+  or 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^{_SPACES}*[-*•]')))
+    > 9 * {_N_LINES}
+  or len(list_filter(string_split_regex({_lower("body")}, '[^a-z]+'), lambda x: x in ({_FLAGGED})))
+    >= 2"""
+
+_QUALITY = f"""
+with texts as (
+  select doc_id, coalesce(text, '') as body, {_words("text")} as words,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents),
+windows as (
+  select doc_id, unnest(range(1, len(words) - 1)) as i, words from texts),
+keyed as (select doc_id, i, [words[i], words[i + 1], words[i + 2]] as w from windows),
+twice as (
+  select doc_id, i from keyed
+  qualify count(*) over (partition by doc_id, w) >= 2),
+repeated as (
+  select doc_id, count(distinct position) as n
+  from (select doc_id, unnest([i, i + 1, i + 2]) as position from twice) group by doc_id),
+counted as (
+  select t.*, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+    length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(r.n, 0) as n_repeat_words
+  from texts t left join repeated r on t.doc_id = r.doc_id),
+judged as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or ({_REJECTED})) as kept
+from judged"""
+
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": _LINE_DEDUP,
+    "op10_quality_rules": _QUALITY,
+}

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgrid.llm.common import Scratch, read_table
+from fleetgrid.llm.lines import drop_shared_lines
 from fleetgrid.llm.packing import pack
+from fleetgrid.llm.quality import judge
 from fleetgrid.llm.token_counts import count_tokens
 from fleetgrid.llm.token_files import read_token_files, write_token_files
 
@@ -21,6 +23,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    kept = drop_shared_lines(docs.select("doc_id", "text"), Scratch(spark, "op3"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark, 'op6').path}/tokens"
     docs = read_table(spark, sf_dir, "documents")
@@ -54,8 +62,24 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return judge(docs.select("doc_id", "text")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op3_line_dedup": op3_line_dedup,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
+    "op10_quality_rules": op10_quality_rules,
 }
