@@ -33,6 +33,36 @@ select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
     as kept_sha256
 from marked group by doc_id"""
 
+_BENCHMARK_WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+_DECONTAMINATION = f"""
+with texts as (
+  select doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_BENCHMARK_WORDS}') as words
+  from documents),
+items as (
+  select item_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_BENCHMARK_WORDS}') as words
+  from benchmark),
+windows as (
+  select item_id, words[i:i + 12] as w
+  from (select *, unnest(range(1, greatest(len(words) - 12, 1) + 1)) as i
+        from items where len(words) > 0)),
+sizes as (select distinct len(w) as size from windows),
+places as (
+  select doc_id, i, words[i:i + size - 1] as w
+  from (select *, unnest(range(1, len(words) - size + 2)) as i
+        from texts, sizes where len(words) >= size)),
+hits as (select p.doc_id, p.i, len(p.w) as size, b.item_id from places p join windows b on p.w = b.w),
+covered as (
+  select doc_id, count(distinct position) as n_hit
+  from (select doc_id, unnest(range(i, i + size)) as position from hits) group by doc_id),
+found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select t.doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+from texts t left join covered c on t.doc_id = c.doc_id left join found f on t.doc_id = f.doc_id"""
+
 _FLAGGED = ", ".join(f"'{x}'" for x in FLAGGED_WORDS)
 _N_LINES = "len(lines)"
 _REJECTED = f"""
@@ -79,5 +109,6 @@ from judged"""
 
 ORACLES: dict[str, str] = {
     "op3_line_dedup": _LINE_DEDUP,
+    "op4_decontamination": _DECONTAMINATION,
     "op10_quality_rules": _QUALITY,
 }

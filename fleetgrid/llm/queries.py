@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgrid.llm.common import Scratch, read_table
+from fleetgrid.llm.decontamination import mark_contaminated
 from fleetgrid.llm.lines import drop_shared_lines
 from fleetgrid.llm.packing import pack
 from fleetgrid.llm.quality import judge
@@ -29,6 +30,20 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    marked = mark_contaminated(docs, benchmark, Scratch(spark, "op4"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark, 'op6').path}/tokens"
     docs = read_table(spark, sf_dir, "documents")
@@ -78,6 +93,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_decontamination": op4_decontamination,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
