@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetgrid.llm.common import Scratch, read_table
 from fleetgrid.llm.decontamination import mark_contaminated
+from fleetgrid.llm.jaccard import jaccard_components
 from fleetgrid.llm.lines import drop_shared_lines
 from fleetgrid.llm.packing import pack
 from fleetgrid.llm.quality import judge
@@ -44,6 +45,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return jaccard_components(docs, Scratch(spark, "op5")).drop("key_text")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark, 'op6').path}/tokens"
     docs = read_table(spark, sf_dir, "documents")
@@ -94,6 +100,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
