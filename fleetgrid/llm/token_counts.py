@@ -31,12 +31,12 @@ def _digest(normal: Column) -> Column:
     return F.unhex(F.sha2(normal, 256))
 
 
-def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame:
-    """Stored counts of a tokenizer version. A cache that does not exist yet is empty."""
+def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame | None:
+    """Stored counts of a tokenizer version; none if the cache does not exist yet."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(at):
-        return spark.createDataFrame([], CACHE_SCHEMA)
+        return None
     stored = spark.read.schema(CACHE_SCHEMA).parquet(path).where(F.col("version") == version)
     # Two runs that append at the same time may store the same digest twice.
     return stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
@@ -50,10 +50,8 @@ def append_misses(docs: DataFrame, cache: str, tokenizer: str) -> None:
     """
     ship_package(docs.sparkSession)
     version = tokenizer_version(tokenizer)
-    known = read_cache(docs.sparkSession, cache, version).select("digest")
     texts = docs.select(normalised(F.col("text")).alias("text"))
     texts = texts.select(_digest(F.col("text")).alias("digest"), "text")
-    misses = texts.join(known, "digest", "left_anti")
 
     def once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -75,8 +73,11 @@ def append_misses(docs: DataFrame, cache: str, tokenizer: str) -> None:
             columns = [versions, pa.array(digests, pa.binary()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["version", "digest", "n_tokens"])
 
-    distinct = misses.mapInArrow(once, "digest binary, text string").repartition("digest")
-    distinct.mapInArrow(counted, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    misses = texts.mapInArrow(once, "digest binary, text string").repartition("digest")
+    known = read_cache(docs.sparkSession, cache, version)
+    if known is not None:  # partitioned alike: the texts are not moved again
+        misses = misses.join(known, "digest", "left_anti")
+    misses.mapInArrow(counted, CACHE_SCHEMA).write.mode("append").parquet(cache)
 
 
 def count_tokens(docs: DataFrame, cache: str, tokenizer: str) -> DataFrame:
