@@ -13,6 +13,7 @@ from fleetgrid.llm.jaccard import jaccard_components
 from fleetgrid.llm.lines import drop_shared_lines
 from fleetgrid.llm.packing import pack
 from fleetgrid.llm.quality import judge
+from fleetgrid.llm.substrings import remove_repeats
 from fleetgrid.llm.token_counts import count_tokens
 from fleetgrid.llm.token_files import read_token_files, write_token_files
 
@@ -25,6 +26,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, Scratch(spark, "op1"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     kept = drop_shared_lines(docs.select("doc_id", "text"), Scratch(spark, "op3"))
@@ -98,6 +104,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
