@@ -12,6 +12,7 @@ from fleetgrid.llm.decontamination import mark_contaminated
 from fleetgrid.llm.jaccard import jaccard_components
 from fleetgrid.llm.lines import drop_shared_lines
 from fleetgrid.llm.packing import pack
+from fleetgrid.llm.pages import extract_main_text
 from fleetgrid.llm.quality import judge
 from fleetgrid.llm.substrings import remove_repeats
 from fleetgrid.llm.token_counts import count_tokens
@@ -89,6 +90,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_main_text(read_table(spark, sf_dir, "pages"), Scratch(spark, "op9"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return judge(docs.select("doc_id", "text")).select(
@@ -111,5 +117,6 @@ QUERIES: dict[str, Query] = {
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
 }
