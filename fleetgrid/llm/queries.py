@@ -13,6 +13,7 @@ from fleetgrid.llm.jaccard import jaccard_components
 from fleetgrid.llm.lines import drop_shared_lines
 from fleetgrid.llm.packing import pack
 from fleetgrid.llm.pages import extract_main_text
+from fleetgrid.llm.private_data import describe_spans, find_private_data
 from fleetgrid.llm.quality import judge
 from fleetgrid.llm.substrings import remove_repeats
 from fleetgrid.llm.token_counts import count_tokens
@@ -32,6 +33,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, Scratch(spark, "op1"))
 
 
+def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = describe_spans(find_private_data(docs, Scratch(spark, "op2")))
+    return spans.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     kept = drop_shared_lines(docs.select("doc_id", "text"), Scratch(spark, "op3"))
@@ -111,6 +118,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_private_data": op2_private_data,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_jaccard_join": op5_jaccard_join,
