@@ -236,7 +236,7 @@ def _links(docs: DataFrame, groups: DataFrame, profile: DataFrame, scratch: Scra
     wanted = scratch.table("wanted", sized.select("root", "sig", "parts", own.alias("part"),
                                                   "key_id", "key_text"))
     texts = docs.select(*row_key(), "text")
-    texts = texts.join(wanted, same_key(texts, wanted)).select("root", "parts", "part", "sig", "text")
+    texts = texts.join(wanted.hint("merge"), same_key(texts, wanted)).select("root", "parts", "part", "sig", "text")
     # a document meets each part of its group once
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     paired = texts.select("*", other).select(

@@ -127,7 +127,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, rule: Spans = Spans()) ->
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "text")]
     kinds = dict(docs.select(*names).dtypes)
     left = docs.select(F.struct(*names).alias("_row"), F.col("text").alias("_text"), *row_key())
-    joined = left.join(covered, same_key(left, covered), "left").select("_row", "_text", "covered")
+    joined = left.join(covered.hint("merge"), same_key(left, covered), "left").select("_row", "_text", "covered")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
