@@ -88,7 +88,7 @@ def drop_shared_lines(
     scratch.drop("shared")
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "text")]
     left = docs.select(F.struct(*names).alias("_row"), _text().alias("_text"), *row_key())
-    joined = left.join(bitmaps, same_key(left, bitmaps), "left")
+    joined = left.join(bitmaps.hint("merge"), same_key(left, bitmaps), "left")
 
     def with_gap(pair: Column, i: Column) -> Column:
         before = F.coalesce(F.get("dropped", i - 1)["block"], F.lit(-1))
