@@ -14,7 +14,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(QUERIES) <= set(entry_points.oracle_sql())
     assert set(ORACLES) == set(QUERIES)
 
 
