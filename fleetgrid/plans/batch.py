@@ -9,7 +9,7 @@ from fleetgrid import schemas
 from fleetgrid.operators.congestion import traffic_congestion
 from fleetgrid.operators.demand_supply import demand_supply_ratio
 from fleetgrid.sinks.files import append_table, write_csv
-from fleetgrid.sources.landing import landing_has, read_landing, read_snapshot
+from fleetgrid.sources.landing import read_landing, read_snapshot
 
 # Names that mark the inputs, and the product directories.
 TRIPS_MARKER = "TrafficCongestionEstimation.csv"
@@ -41,10 +41,11 @@ def run_congestion(
     Replaces `out_path`, or appends to `table` if one is named. Returns row counts,
     or None, leaving the output alone, if there is no trip file.
     """
-    if not landing_has(spark, in_path, TRIPS_MARKER):
-        return None
+    _check_table(table)
     trips = read_landing(spark, in_path, TRIPS_MARKER, schemas.TRIPS)
-    return _congestion(trips, out_path, single_file, table)
+    if trips is None:
+        return None
+    return write_congestion(trips, out_path, single_file, table)
 
 
 def run_ratio(
@@ -61,13 +62,14 @@ def run_ratio(
 
     Needs at least one file on each side.
     """
-    if not landing_has(spark, demand_path, DEMAND_MARKER):
-        return None
-    if not landing_has(spark, supply_path, SUPPLY_MARKER):
-        return None
+    _check_table(table)
     demand = read_landing(spark, demand_path, DEMAND_MARKER, schemas.DEMAND)
+    if demand is None:
+        return None
     supply = read_landing(spark, supply_path, SUPPLY_MARKER, schemas.SUPPLY)
-    return _ratio(demand, supply, out_path, keep_supply_keys, single_file, table)
+    if supply is None:
+        return None
+    return write_ratio(demand, supply, out_path, keep_supply_keys, single_file, table)
 
 
 def run_micro_batch(
@@ -88,28 +90,36 @@ def run_micro_batch(
     counts = {}
     if demand is not None and supply is not None:
         out = f"{out_root}/{RATIO_OUTPUT}"
-        counts[RATIO_OUTPUT] = _ratio(demand, supply, out, keep_supply_keys, single_file)
+        counts[RATIO_OUTPUT] = write_ratio(demand, supply, out, keep_supply_keys, single_file)
     if trips is not None:
         out = f"{out_root}/{CONGESTION_OUTPUT}"
-        counts[CONGESTION_OUTPUT] = _congestion(trips, out, single_file)
+        counts[CONGESTION_OUTPUT] = write_congestion(trips, out, single_file)
     return counts
 
 
-def _congestion(
-    trips: DataFrame, out_path: str, single_file: bool, table: str | None = None
+def _check_table(table: str | None) -> None:
+    if table is not None and not table.strip():
+        raise ValueError("the table has a blank name")
+
+
+def write_congestion(
+    trips: DataFrame, out_path: str, single_file: bool = False, table: str | None = None
 ) -> dict[str, int]:
+    """Congestion of `trips` to a CSV directory or a table, with row counts."""
     inputs = {"trips": trips}
     return _produce(inputs, traffic_congestion, out_path, single_file, table)
 
 
-def _ratio(
+def write_ratio(
     demand: DataFrame,
     supply: DataFrame,
     out_path: str,
-    keep_supply_keys: bool,
-    single_file: bool,
+    keep_supply_keys: bool = False,
+    single_file: bool = False,
     table: str | None = None,
 ) -> dict[str, int]:
+    """The ratio of `demand` to `supply` to a CSV directory or a table, with row counts."""
+
     def product(demand: DataFrame, supply: DataFrame) -> DataFrame:
         return demand_supply_ratio(demand, supply, keep_supply_keys)
 
@@ -128,7 +138,7 @@ def _produce(
     written = Observation()
     result = product(**{name: df.observe(seen[name], _rows()) for name, df in inputs.items()})
     result = result.observe(written, _rows())
-    if table:
+    if table is not None:
         append_table(result, table)
     else:
         write_csv(result, out_path, single_file)

@@ -23,12 +23,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 def append_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "orc") -> bool:
     """Append rows to an existing table, column by column in order.
 
-    Returns False if an argument is blank or there were no rows; the rows are
-    counted while they are written. Errors are raised, so that the caller can retry.
+    Returns False if an argument is blank or there were no rows, and then leaves the
+    table as it is, also with mode `overwrite`, which looks for a row first. Otherwise
+    rows are counted while they are written. Errors are raised, so that the caller can
+    retry.
     """
     table, mode, fmt = table.strip(), mode.strip(), fmt.strip()
     if not (table and mode and fmt):
         return False
+    if mode.lower() == "overwrite" and df.isEmpty():
+        return False
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     counted.write.mode(mode).format(fmt).insertInto(table)

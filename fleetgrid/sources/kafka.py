@@ -18,7 +18,12 @@ def kafka_options(
     max_offsets_per_trigger: int | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Reader options. `max_offsets_per_trigger` bounds a batch over all partitions."""
+    """Reader options. `max_offsets_per_trigger` bounds a batch over all partitions.
+
+    `topics` are names, one by one; `parse_topic_tables` reads them from a single text.
+    """
+    if isinstance(topics, str):
+        raise TypeError("topics must be a collection of names, not one text")
     options = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": ",".join(topics),

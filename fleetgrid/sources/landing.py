@@ -1,35 +1,57 @@
 """CSV inputs: landing directories with mixed files, and snapshot directories."""
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header line. Columns are taken by position; empty fields are null."""
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_landing(spark: SparkSession, root: str, marker: str, schema: StructType) -> DataFrame:
-    """All CSV files below `root` whose path contains `marker`, as one DataFrame.
+def read_landing(
+    spark: SparkSession, root: str, marker: str, schema: StructType
+) -> DataFrame | None:
+    """All CSV files below `root` whose path there contains `marker`, as one DataFrame.
 
-    The condition is on file metadata only, so Spark drops the other files while
-    planning the scan.
+    None if there is no such file. The directory is listed once: the check reads the
+    scan's own listing. The condition is on file metadata only, so Spark drops the
+    other files while planning the scan.
     """
+    folder = _folder(spark, root)
     files = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
-    return files.csv(root).where(_below(F.col("_metadata.file_path"), root).contains(marker))
+    scan = files.csv(root)
+    if not any(marker in _below(path, folder) for path in scan.inputFiles()):
+        return None
+    path = _decoded(F.col("_metadata.file_path"))
+    below = F.when(F.startswith(path, F.lit(folder)), F.substring(path, len(folder) + 1, 1 << 30))
+    return scan.where(below.contains(marker))
+
+
+def _folder(spark: SparkSession, root: str) -> str:
+    """The path of a directory as its store has it, absolute and with a slash at the end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    resolved = store.getFileStatus(path).getPath().toUri().normalize().getPath()
+    return resolved.rstrip("/") + "/"
 
 
-def landing_has(spark: SparkSession, root: str, marker: str) -> bool:
-    """Whether any file below `root` has `marker` in its path. No file is opened."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return not listed.select("path").where(_below(F.col("path"), root).contains(marker)).isEmpty()
+def _below(url: str, folder: str) -> str:
+    """The part of a file's URL, as Spark spells it, after a folder."""
+    path = unquote(re.sub(_STORE, "", url))
+    return path[len(folder) :] if path.startswith(folder) else ""
 
 
-def _below(path: Column, root: str) -> Column:
-    """The part of a file path after the landing directory."""
-    return F.substring_index(path, root.rstrip("/") + "/", -1)
+def _decoded(url: Column) -> Column:
+    """The path of a file's URL. A plus sign stands for itself in paths."""
+    return F.url_decode(F.replace(F.regexp_replace(url, _STORE, ""), F.lit("+"), F.lit("%2B")))
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:

@@ -8,7 +8,7 @@ from fleetgrid import schemas
 from fleetgrid.plans import batch
 from fleetgrid.sinks.files import append_table, write_csv
 from fleetgrid.sources.kafka import kafka_options
-from fleetgrid.sources.landing import landing_has, read_csv, read_landing, read_snapshot
+from fleetgrid.sources.landing import read_csv, read_landing, read_snapshot
 from tests import golden
 from tests.golden import ordered, rows
 from workload.catalog import CONGESTION_SCHEMA, RATIO_SCHEMA
@@ -57,8 +57,30 @@ def test_landing_takes_marked_files_only(spark, landing):
     df = read_landing(spark, landing, batch.TRIPS_MARKER, schemas.TRIPS)
     # The broken file would fail the scan if it were opened.
     assert df.count() == len(golden.TRIPS)
-    assert landing_has(spark, landing, batch.SUPPLY_MARKER)
-    assert not landing_has(spark, landing, "landing")
+    assert read_landing(spark, landing, batch.SUPPLY_MARKER, schemas.SUPPLY) is not None
+    assert read_landing(spark, landing, "landing", schemas.SUPPLY) is None
+
+
+@pytest.mark.parametrize(
+    "spelling",
+    ["{0}/x", "file://{0}/x", "file:{0}/x/", "{0}/./x", "{0}/y/../x", "{0}//x", "relative"],
+)
+@pytest.mark.parametrize("parent", ["my CustomerDemand.csv inbox", "a+b%20CustomerDemand.csv"])
+def test_landing_roots_however_spelled(spark, tmp_path, monkeypatch, parent, spelling):
+    top = f"{tmp_path}/{parent}"
+    for part in ("x/CustomerDemand.csv/x/part 1.csv", "x/x/CustomerDemand.csv+"):
+        write_lines(f"{top}/{part}", schemas.DEMAND, golden.DEMAND)
+    write_lines(f"{top}/x/CabSupply.csv", schemas.SUPPLY, golden.SUPPLY)
+    write_lines(f"{top}/x/strange.csv", schemas.SUPPLY, golden.SUPPLY)
+    os.makedirs(f"{top}/y")
+    root = spelling.format(top)
+    if spelling == "relative":
+        root = os.path.relpath(f"{top}/x", spark._jvm.System.getProperty("user.dir"))
+    demand = read_landing(spark, root, batch.DEMAND_MARKER, schemas.DEMAND)
+    assert demand.count() == 2 * len(golden.DEMAND)
+    supply = read_landing(spark, root, batch.SUPPLY_MARKER, schemas.SUPPLY)
+    assert supply.count() == len(golden.SUPPLY)
+    assert read_landing(spark, root, "inbox", schemas.SUPPLY) is None
 
 
 def test_unmarked_broken_file_is_really_broken(spark, landing):
@@ -126,6 +148,7 @@ def test_append_table(spark, tmp_path):
         assert append_table(df, " append_t ")
         assert rows(spark.table("append_t")) == [("1", "2")]
         assert not append_table(df.limit(0), "append_t")
+        assert not append_table(df.limit(0), "append_t", mode="overwrite")
         assert not append_table(df, " ")
         assert not append_table(df, "append_t", mode="")
         assert not append_table(df, "append_t", fmt="")
@@ -161,3 +184,13 @@ def test_kafka_options():
         "k": "v",
     }
     assert "maxOffsetsPerTrigger" not in kafka_options("h", ["a"])
+    with pytest.raises(TypeError):
+        kafka_options("h", "a,b")
+
+
+@pytest.mark.parametrize("table", ["", "  "])
+def test_blank_tables_are_refused(spark, landing, table):
+    with pytest.raises(ValueError):
+        fg.run_congestion(spark, landing, "unused", table=table)
+    with pytest.raises(ValueError):
+        fg.run_ratio(spark, landing, landing, "unused", table=table)

@@ -152,7 +152,14 @@ def test_minutes(spark, zone):
         (noon, "2015-09-01T12:10:00"): None,
         (noon, "2015-09-01"): None,
         (noon, "2015-09-01 12:10"): None,
-        (noon, "12015-09-01 12:10:00"): None,
+        (noon, "12015-09-01 12:10:00"): 10_000 * 365_2425 // 10_000 * 24 * 60 + 10,
+        (noon, "2015-09-01 12:-5:00"): -5,
+        (noon, "2015-09--1 12:00:00"): -2 * 24 * 60,
+        (noon, "2015-09-01 12:00:6000000"): 100_000,
+        (noon, "2015-09-01 0012:0000000010:00"): 10,
+        ("-1-1-1 0:0:0", "0-01-01 00:00:00"): 365 * 24 * 60,
+        (noon, "2015-09-01 12:00:99999999999999999999"): None,
+        (noon, "9223372036854775807-01-01 00:00:00"): None,
         (noon, "oops"): None,
         (noon, ""): None,
         (noon, None): None,
