@@ -17,17 +17,26 @@ from fleetgrid.operators.demand_supply import (
     demand_supply_ratio,
 )
 from fleetgrid.plans.batch import run_congestion, run_micro_batch, run_ratio
-from fleetgrid.streaming.ingest import history_rows, ingest, latest_batch, read_history
+from fleetgrid.streaming.history import compact_history, last_load, read_history
+from fleetgrid.streaming.ingest import (
+    history_rows,
+    ingest,
+    latest_batch,
+    parse_topic_tables,
+)
 
 __all__ = [
     "cell_avg_speed",
     "cell_demand_counts",
     "cell_supply_counts",
+    "compact_history",
     "demand_supply_ratio",
     "global_avg_speed",
     "history_rows",
     "ingest",
+    "last_load",
     "latest_batch",
+    "parse_topic_tables",
     "read_history",
     "run_congestion",
     "run_micro_batch",

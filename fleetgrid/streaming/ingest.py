@@ -2,7 +2,7 @@
 
 import re
 from collections.abc import Iterable, Mapping
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +15,19 @@ from fleetgrid.functions.payloads import (
     project_payload,
 )
 from fleetgrid.plans.batch import (
+    CONGESTION_OUTPUT,
     DEMAND_SNAPSHOT,
+    RATIO_OUTPUT,
     SUPPLY_SNAPSHOT,
     TRIPS_SNAPSHOT,
-    run_micro_batch,
+    write_congestion,
+    write_ratio,
 )
 from fleetgrid.sinks.files import write_csv
+from fleetgrid.streaming.history import (
+    last_load,
+    publish_batch,
+)
 
 SNAPSHOTS = {
     TRIP_TOPIC: TRIPS_SNAPSHOT,
@@ -31,7 +38,12 @@ SNAPSHOTS = {
 
 def parse_topic_tables(mapping: str) -> dict[str, str]:
     """`topic1|table1#topic2|table2` as a dict."""
-    return dict(entry.split("|", 1) for entry in mapping.split("#"))
+    entries = [entry.split("|") for entry in mapping.split("#")]
+    if any(len(entry) != 2 for entry in entries):
+        raise ValueError(f"need topic|table entries, got {mapping!r}")
+    if len(tables := dict(entries)) < len(entries):
+        raise ValueError(f"a topic occurs twice: {mapping!r}")
+    return tables
 
 
 def history_rows(records: DataFrame, topic: str, loadtime: datetime | Column) -> DataFrame:
@@ -49,89 +61,147 @@ def _history_columns(loadtime: datetime | Column) -> list[Column]:
     ]
 
 
-def read_history(spark: SparkSession, history_root: str, table: str) -> DataFrame:
-    """All history of one table."""
-    history = spark.read.orc(f"{history_root}/history={table}")
-    return history.select("payload", "offset", "loadtime")
-
-
 def latest_batch(history: DataFrame) -> DataFrame:
-    """The rows of a history table that came with its last load."""
+    """The rows of a history table that came with its last load.
+
+    Reads the whole table for the time of that load; `last_load` reads only its last day.
+    """
     last = history.agg(F.max("loadtime"))
     return history.where(F.col("loadtime") == last.scalar())
 
 
 def ingest(
     stream: DataFrame,
-    topic_tables: Mapping[str, str],
+    topic_tables: Mapping[str, str] | str,
     history_root: str,
     snapshot_root: str,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     products_root: str | None = None,
     single_file: bool = False,
+    *,
+    ignore_topics: Iterable[str] = (),
+    catalog_tables: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Archive a stream of (payload, offset, topic) records and keep snapshots.
 
-    Every batch is written once, to one ORC directory per table, query and batch, so
-    a batch that is retried replaces its own rows and no others. Topics that had rows
-    and have a known payload then replace their CSV snapshot, read back from there.
-    With `products_root` both products are refreshed in the same batch. `trigger`
-    takes the arguments of `DataStreamWriter.trigger`; records of topics missing
-    from `topic_tables` are ignored.
+    Every batch is written once, to one ORC directory per table, day, query and batch, so
+    a batch that is retried replaces its own rows and no others: its load time comes from
+    the checkpoint and does not change. Topics that had rows and have a known payload
+    then replace their CSV snapshot. With `products_root` the products of those topics
+    are refreshed in the same batch, from the history rows themselves.
+
+    `topic_tables` is a mapping or a text for `parse_topic_tables`. A record of a topic
+    that is neither in it nor in `ignore_topics` fails the batch before anything is
+    written. `catalog_tables` names a catalog table for each topic that SQL users read;
+    it is created over the topic's history files, and each batch adds its partition.
+    `trigger` takes the arguments of `DataStreamWriter.trigger`.
+
+    A line break inside a value ends its row early in the CSV snapshot, as in any CSV
+    that is read in parallel; history and products keep the value whole.
     """
+    if isinstance(topic_tables, str):
+        topic_tables = parse_topic_tables(topic_tables)
     _check_tables(topic_tables.values())
+    catalog_tables = dict(catalog_tables or {})
+    _check_topics(topic_tables, ignored := list(ignore_topics), catalog_tables)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # Batch numbers start over with a new checkpoint; the query id does not repeat.
-        name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
-        present = _archive(batch, name, topic_tables, history_root)
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the stream has no query id to name its batches by")
+        name = f"{query_id}-{batch_id}"
+        present, day = _archive(batch, name, topic_tables, ignored, history_root)
+        for topic in present:
+            if topic in catalog_tables:
+                table = topic_tables[topic]
+                publish_batch(spark, catalog_tables[topic], history_root, table, day, name)
         updated = [topic for topic in present if topic in SNAPSHOTS]
+        fresh = {}
         for topic in updated:
-            part = f"{history_root}/history={topic_tables[topic]}/batch={name}"
-            rows = project_payload(spark.read.orc(part), topic)
-            write_csv(rows, f"{snapshot_root}/{SNAPSHOTS[topic]}", single_file)
-        if products_root and updated:
-            run_micro_batch(spark, snapshot_root, products_root, single_file=single_file)
-
-    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+            part = f"{history_root}/history={topic_tables[topic]}/load_date={day}/batch={name}"
+            fresh[topic] = project_payload(spark.read.orc(part), topic)
+            write_csv(fresh[topic], f"{snapshot_root}/{SNAPSHOTS[topic]}", single_file)
+        if products_root:
+            _refresh(spark, fresh, topic_tables, history_root, products_root, single_file)
+
+    records = stream.withColumn("loadtime", F.current_timestamp())
+    writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
 
 
-def _now() -> datetime:
-    """Wall clock to the millisecond."""
-    now = datetime.now(timezone.utc)
-    return now.replace(microsecond=now.microsecond // 1000 * 1000)
+def _refresh(
+    spark: SparkSession,
+    fresh: Mapping[str, DataFrame],
+    topic_tables: Mapping[str, str],
+    history_root: str,
+    products_root: str,
+    single_file: bool,
+) -> None:
+    """Rewrite the products of the topics in `fresh`. The other side of a ratio is what
+    its topic loaded last; without any, there is no ratio yet."""
+
+    def rows(topic: str) -> DataFrame | None:
+        if topic not in fresh:
+            table = topic_tables.get(topic)
+            last = last_load(spark, history_root, table) if table else None
+            return None if last is None else _as_csv_reads(project_payload(last, topic))
+        return _as_csv_reads(fresh[topic])
+
+    if TRIP_TOPIC in fresh:
+        write_congestion(rows(TRIP_TOPIC), f"{products_root}/{CONGESTION_OUTPUT}", single_file)
+    if CUSTOMER_TOPIC in fresh or DRIVER_TOPIC in fresh:
+        demand, supply = rows(CUSTOMER_TOPIC), rows(DRIVER_TOPIC)
+        if demand is not None and supply is not None:
+            out = f"{products_root}/{RATIO_OUTPUT}"
+            write_ratio(demand, supply, out, single_file=single_file)
+
+
+def _as_csv_reads(rows: DataFrame) -> DataFrame:
+    """Empty text as null: products mean the same rows, from history or from snapshots."""
+    return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in rows.columns])
 
 
 def _archive(
-    batch: DataFrame, name: str, topic_tables: Mapping[str, str], history_root: str
-) -> list[str]:
-    """Write a batch to the history of each topic; return the topics that had rows."""
-    table = F.lit(None).cast("string")
-    for topic, topic_table in topic_tables.items():
-        table = F.when(F.col("topic") == topic, topic_table).otherwise(table)
+    batch: DataFrame,
+    name: str,
+    topic_tables: Mapping[str, str],
+    ignored: list[str],
+    history_root: str,
+) -> tuple[list[str], str | None]:
+    """Write a batch to the history of each topic; return the topics that had rows, and
+    the day of the load.
+
+    Files are sized by Spark, per table: small tables get one, large ones several.
+    """
+    topic = F.col("topic")
+    unknown = F.concat(F.lit("no history table for topic "), F.coalesce(topic, F.lit("null")))
+    table = F.raise_error(unknown)
+    for known, topic_table in topic_tables.items():
+        table = F.when(topic == known, topic_table).otherwise(table)
     seen = Observation()
-    rows = [
-        F.count_if(F.col("topic") == topic).alias(f"topic_{i}")
-        for i, topic in enumerate(topic_tables)
-    ]
+    rows = [F.count_if(topic == known).alias(f"topic_{i}") for i, known in enumerate(topic_tables)]
+    day = F.to_date("loadtime")
     (
-        batch.where(F.col("topic").isin(*topic_tables))
-        .observe(seen, *rows)
+        batch.where(~F.coalesce(topic.isin(ignored), F.lit(False)))
+        .observe(seen, *rows, F.max(day.cast("string")).alias("day"))
         .select(
-            *_history_columns(_now()),
+            *_history_columns(F.col("loadtime")),
             table.alias("history"),
+            day.alias("load_date"),
             F.lit(name).alias("batch"),
         )
+        .hint("rebalance", "history")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("history", "batch")
+        .partitionBy("history", "load_date", "batch")
         .orc(history_root)
     )
     counts = seen.get
-    return [topic for i, topic in enumerate(topic_tables) if counts[f"topic_{i}"]]
+    present = [known for i, known in enumerate(topic_tables) if counts[f"topic_{i}"]]
+    return present, counts["day"]
 
 
 def _check_tables(tables: Iterable[str]) -> None:
@@ -141,3 +211,14 @@ def _check_tables(tables: Iterable[str]) -> None:
         raise ValueError(f"need plain table names, got {names}")
     if len(set(names)) < len(names):
         raise ValueError(f"topics share a table: {names}")
+
+
+def _check_topics(
+    topic_tables: Mapping[str, str], ignored: list[str], catalog_tables: Mapping[str, str]
+) -> None:
+    if both := set(topic_tables) & set(ignored):
+        raise ValueError(f"topics with a table cannot be ignored: {sorted(both)}")
+    if missing := set(catalog_tables) - set(topic_tables):
+        raise ValueError(f"topics of catalog tables have no history: {sorted(missing)}")
+    if not all(name.strip() for name in catalog_tables.values()):
+        raise ValueError("a catalog table has a blank name")

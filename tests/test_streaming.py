@@ -1,6 +1,10 @@
+import glob
 import json
+import os
+import shutil
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 import fleetgrid as fg
 from fleetgrid import schemas
@@ -48,6 +52,7 @@ class Stream:
             f"{self.root}/snapshots",
             f"{self.root}/{checkpoint}",
             trigger={"availableNow": True},
+            ignore_topics=["known"],
             **options,
         ).awaitTermination()
 
@@ -66,7 +71,7 @@ def stream(spark, tmp_path):
 def test_history_and_snapshots_over_restarts(spark, stream):
     first = stream.send(CUSTOMER_TOPIC, golden.DEMAND[:3])
     cabs = stream.send(DRIVER_TOPIC, golden.SUPPLY)
-    stream.send_raw([("raw", 100, "other"), ("ignored", 101, "unknown"), (None, 102, "other")])
+    stream.send_raw([("raw", 100, "other"), ("left out", 101, "known"), (None, 102, "other")])
     stream.load()
     assert rows(stream.snapshot("DemandData", schemas.DEMAND)) == ordered(golden.DEMAND[:3])
     assert stream.snapshot("TrafficEstimator", schemas.TRIPS) is None
@@ -123,6 +128,98 @@ def test_retried_batch_replaces_its_rows(spark, stream):
     assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
 
 
+def test_topics_without_a_table_fail_the_batch(spark, stream):
+    stream.send(CUSTOMER_TOPIC, golden.DEMAND)
+    stream.send_raw([("lost", 101, "unknown")])
+    with pytest.raises(StreamingQueryException, match="no history table for topic unknown"):
+        stream.load()
+    assert not [x for x in glob.glob(f"{stream.root}/history/history=*")]
+    with pytest.raises(StreamingQueryException, match="unknown"):  # nothing was passed over
+        stream.load()
+
+
+def test_only_products_that_moved_are_written(spark, stream):
+    products = f"{stream.root}/products"
+    stream.send(TRIP_TOPIC, golden.TRIPS)
+    stream.send(DRIVER_TOPIC, golden.SUPPLY)
+    stream.load(products_root=products)
+    before = sorted(glob.glob(f"{products}/{batch.CONGESTION_OUTPUT}/*"))
+    assert before and not glob.glob(f"{products}/{batch.RATIO_OUTPUT}/*")
+    broken = ("a\nb", *golden.DEMAND[0][1:])  # one customer, two lines of CSV
+    stream.send(CUSTOMER_TOPIC, [broken, *golden.DEMAND[1:]])
+    stream.load(products_root=products)
+    assert sorted(glob.glob(f"{products}/{batch.CONGESTION_OUTPUT}/*")) == before
+    ratio = read_csv(spark, f"{products}/{batch.RATIO_OUTPUT}", RATIO_SCHEMA)
+    assert rows(ratio) == ordered(golden.RATIO)
+
+
+def test_last_load_reads_its_day_only(spark, stream):
+    stream.send(CUSTOMER_TOPIC, golden.DEMAND[:2])
+    stream.load()
+    old = glob.glob(f"{stream.root}/history/history=cust_h/load_date=*")[0]
+    os.rename(old, f"{os.path.dirname(old)}/load_date=2020-01-01")
+    second = stream.send(CUSTOMER_TOPIC, golden.DEMAND[2:])
+    stream.load()
+    last = fg.last_load(spark, f"{stream.root}/history", "cust_h")
+    assert rows(last.drop("loadtime")) == ordered(second)
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in plan
+    assert fg.last_load(spark, f"{stream.root}/history", "never") is None
+
+
+def test_compaction_keeps_every_row(spark, stream, monkeypatch):
+    sent = []
+    for i in range(6):
+        sent += stream.send(CUSTOMER_TOPIC, [golden.DEMAND[i]])
+        stream.load(catalog_tables={CUSTOMER_TOPIC: "cust_catalog"})
+    root = f"{stream.root}/history"
+    try:
+        files = glob.glob(f"{root}/history=cust_h/*/*/*.orc")
+        assert len(files) == 6  # one a batch, however many tasks
+        day = os.path.basename(os.path.dirname(os.path.dirname(files[0]))).removeprefix("load_date=")
+        # cut short after the new batch is written and one old one removed
+        folder = f"{root}/history=cust_h/load_date={day}"
+        fg.read_history(spark, root, "cust_h").coalesce(1).write.orc(f"{folder}/_compacted")
+        shutil.rmtree(sorted(glob.glob(f"{folder}/batch=*"))[0])
+        fg.compact_history(spark, root, "cust_h", day, "cust_catalog")
+        fg.compact_history(spark, root, "cust_h", day, "cust_catalog")
+        assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+        catalog = spark.table("cust_catalog").select("payload", "offset")
+        assert rows(catalog) == ordered(sent)
+        sent += stream.send(CUSTOMER_TOPIC, golden.DEMAND[:1])
+        stream.load(catalog_tables={CUSTOMER_TOPIC: "cust_catalog"})
+        fg.compact_history(spark, root, "cust_h", day, "cust_catalog")
+        assert len(glob.glob(f"{folder}/*/*.orc")) == 1
+        assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+        spark.catalog.refreshTable("cust_catalog")
+        assert rows(spark.table("cust_catalog").select("payload", "offset")) == ordered(sent)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS cust_catalog")
+
+
+def test_catalog_tables_over_restarts_and_retries(spark, stream):
+    tables = {CUSTOMER_TOPIC: "cust_sql", "other": "other_sql"}
+    try:
+        sent = stream.send(CUSTOMER_TOPIC, golden.DEMAND[:3])
+        stream.send(TRIP_TOPIC, golden.TRIPS)
+        with open(f"{stream.root}/blocked", "w") as out:
+            out.write("a file where the product directory should be")
+        with pytest.raises(StreamingQueryException):
+            stream.load(products_root=f"{stream.root}/blocked", catalog_tables=tables)
+        assert rows(spark.table("cust_sql").select("payload", "offset")) == ordered(sent)
+        stream.load(catalog_tables=tables)  # the same batch again
+        spark.catalog.refreshTable("cust_sql")
+        assert rows(spark.table("cust_sql").select("payload", "offset")) == ordered(sent)
+        sent += stream.send(CUSTOMER_TOPIC, golden.DEMAND[3:])
+        stream.load(catalog_tables=tables)
+        assert rows(spark.table("cust_sql").select("payload", "offset")) == ordered(sent)
+        assert spark.table("cust_sql").select("batch").distinct().count() == 2
+        assert not spark.catalog.tableExists("other_sql")
+    finally:
+        for table in tables.values():
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_new_checkpoint_keeps_old_history(spark, stream):
     sent = stream.send(CUSTOMER_TOPIC, golden.DEMAND[:2])
     stream.load()
@@ -138,5 +235,19 @@ def test_bad_topic_tables(spark, stream, tables):
         fg.ingest(source, tables, "h", "s", "c")
 
 
+@pytest.mark.parametrize(
+    "options",
+    [{"ignore_topics": ["a"]}, {"catalog_tables": {"b": "t"}}, {"catalog_tables": {"a": " "}}],
+)
+def test_bad_topics(spark, stream, options):
+    stream.send(CUSTOMER_TOPIC, golden.DEMAND[:1])
+    source = spark.readStream.schema(schemas.STREAM_RECORD).parquet(f"{stream.root}/inbox")
+    with pytest.raises(ValueError):
+        fg.ingest(source, "a|x", "h", "s", "c", **options)
+
+
 def test_parse_topic_tables():
     assert parse_topic_tables("a|t1#b|t2") == {"a": "t1", "b": "t2"}
+    for text in ("", "a", "a|b|c", "a|b#a|c"):
+        with pytest.raises(ValueError):
+            parse_topic_tables(text)
