@@ -16,7 +16,7 @@ from fleetgrid.sources.landing import read_csv
 from fleetgrid.streaming.ingest import SNAPSHOTS
 from workload import inputs
 from workload.messages import TOPIC_TABLES, WAVES, messages
-from workload.scratch import scratch_dir
+from workload.scratch import file_state, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,51 @@ def csv_landing_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(read_csv(spark, f"{root}/out", CONGESTION_SCHEMA))
 
 
+def csv_landing_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides and a stranger in one folder, below a folder that is named like a side."""
+    root = scratch_dir(spark, "mixed")
+    landing = f"{root}/old {batch.SUPPLY_MARKER} and {batch.DEMAND_MARKER}/in"
+    write_csv(inputs.demand(spark, sf_dir), f"{landing}/a/{batch.DEMAND_MARKER}")
+    write_csv(inputs.supply(spark, sf_dir), f"{landing}/{batch.SUPPLY_MARKER}")
+    write_csv(inputs.supply(spark, sf_dir), f"{landing}/a/other.csv")
+    fg.run_ratio(spark, f"{landing}/./", f"{landing}/a/..", f"{root}/out")
+    return rounded(read_csv(spark, f"{root}/out", RATIO_SCHEMA))
+
+
+def csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "single")
+    write_csv(inputs.demand(spark, sf_dir), f"{root}/in/{batch.DEMAND_MARKER}")
+    write_csv(inputs.supply(spark, sf_dir), f"{root}/in/{batch.SUPPLY_MARKER}", single_file=True)
+    fg.run_ratio(spark, f"{root}/in", f"{root}/in", f"{root}/out", single_file=True)
+    out = read_csv(spark, f"{root}/out", RATIO_SCHEMA)
+    return rounded(out).withColumn("files", F.lit(len(out.inputFiles())))
+
+
+def table_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that append to one table."""
+    root = scratch_dir(spark, "table")
+    table = f"congestion_{root[-12:]}"
+    write_csv(inputs.trips(spark, sf_dir), f"{root}/in/{batch.TRIPS_MARKER}")
+    spark.sql(f"CREATE TABLE {table} ({CONGESTION_SCHEMA}) USING orc LOCATION '{root}/table'")
+    for _ in range(2):
+        fg.run_congestion(spark, f"{root}/in", "unused", table=table)
+    spark.sql(f"DROP TABLE {table}")
+    return rounded(spark.read.schema(CONGESTION_SCHEMA).orc(f"{root}/table"))
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row counts that both runs report."""
+    root = scratch_dir(spark, "counts")
+    write_csv(inputs.demand(spark, sf_dir), f"{root}/in/{batch.DEMAND_MARKER}")
+    write_csv(inputs.supply(spark, sf_dir), f"{root}/in/{batch.SUPPLY_MARKER}")
+    write_csv(inputs.trips(spark, sf_dir), f"{root}/in/{batch.TRIPS_MARKER}")
+    ratio = fg.run_ratio(spark, f"{root}/in", f"{root}/in", f"{root}/ratio")
+    congestion = fg.run_congestion(spark, f"{root}/in", f"{root}/congestion")
+    counts = [("ratio", *x) for x in ratio.items()]
+    counts += [("congestion", *x) for x in congestion.items()]
+    return spark.createDataFrame(counts, "run string, counted string, n bigint")
+
+
 def run_stream(spark: SparkSession, sf_dir: str) -> str:
     """Feed the messages to `ingest`, one wave and one restart at a time.
 
@@ -119,14 +164,16 @@ def run_stream(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-_streamed: dict[tuple[str, str], str] = {}
+_streamed: dict[tuple, str] = {}
 
 
 def _after_stream(result: Query) -> Query:
-    """A query on the folder of a finished stream, which queries of a session share."""
+    """A query on the folder of a finished stream, which queries of a session share as
+    long as the tables stay as they are."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir)
+        tables = file_state(spark, f"{sf_dir}/lineitem.parquet", f"{sf_dir}/events.parquet")
+        key = (spark.sparkContext.applicationId, tables)
         if key not in _streamed:
             _streamed[key] = run_stream(spark, sf_dir)
         return result(spark, _streamed[key])
@@ -153,6 +200,8 @@ BATCH_QUERIES: dict[str, Query] = {
     "global_avg_speed": _on_trips(fg.global_avg_speed),
     "trip_speeds": _on_trips(fg.trip_speeds),
     "trip_endpoints": _on_trips(fg.trip_endpoints),
+    "trip_speeds_lenient": lambda spark, d: rounded(fg.trip_speeds(inputs.lenient_trips(spark, d))),
+    "odd_text_slots": lambda spark, d: fg.cell_demand_counts(inputs.odd_demand(spark, d)),
     "cell_demand_counts": lambda spark, d: fg.cell_demand_counts(inputs.demand(spark, d)),
     "cell_supply_counts": lambda spark, d: fg.cell_supply_counts(inputs.supply(spark, d)),
     "demand_supply_ratio": _ratio(keep_supply_keys=False),
@@ -167,6 +216,10 @@ BATCH_QUERIES: dict[str, Query] = {
 FILE_QUERIES: dict[str, Query] = {
     "csv_landing_congestion": csv_landing_congestion,
     "csv_landing_ratio": csv_landing_ratio,
+    "csv_landing_mixed": csv_landing_mixed,
+    "csv_single_file": csv_single_file,
+    "table_congestion": table_congestion,
+    "run_counts": run_counts,
 }
 
 STREAM_QUERIES: dict[str, Query] = {

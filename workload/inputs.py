@@ -91,3 +91,44 @@ def trips(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataF
         distance.alias("trip_distance"),
         *keep,
     )
+
+
+def lenient_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips with their readable datetimes spelled with odd fields: seconds since the
+    first of the month, months and days before their time, five-digit years."""
+    order, line, part, supplier = (
+        F.col(name) for name in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    )
+    start = (order * 7919 + line * 613 + 300) % 259200 + 300
+    end = start + (part * 31 + supplier * 17) % 3600 - 120
+    pickups = ["2015-9-1 0:0:", "2015-10--29 0:0:", "12015-9-1 0:0:", "2015-09-02 -24:00:"]
+    dropoffs = ["2016--3-1 0:0:", "2015-8-32 0:0:", "12015-8-00032 0:0:", "2015-9-1 1:-60:"]
+    kept = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    df = trips(spark, sf_dir, keep=kept)
+
+    def spelled(spellings: list[str], second: Column) -> Column:
+        first = F.get(F.array(*map(F.lit, spellings)), (order % 4).cast("int"))
+        return F.concat(first, second.cast("string"))
+
+    return df.withColumns(
+        {
+            "pickup_datetime": spelled(pickups, start),
+            "dropoff_datetime": F.when(order % 79 == 0, "oops").otherwise(spelled(dropoffs, end)),
+        }
+    ).drop(*kept)
+
+
+def odd_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests with datetimes that are unpadded, cut short or without a date."""
+    event = F.col("event_id")
+    second = event * 7919 % 172800
+    day, rest = 1 + _div(second, 86400), second % 86400
+    hour, minute = _div(rest, 3600), _div(rest, 60) % 60
+    spelled = (
+        F.when(event % 4 == 0, F.format_string("2024-1-%d %d:%d:%d", day, hour, minute, rest % 60))
+        .when(event % 4 == 1, F.format_string("2024-01-0%dT%02d:%02d:00", day, hour, minute))
+        .when(event % 4 == 2, F.format_string("2024-01-0%d %d:%d", day, hour, minute))
+        .otherwise(F.format_string("%d:%02d", hour, minute))
+    )
+    df = demand(spark, sf_dir, keep=("event_id",))
+    return df.withColumn("cust_datetime", spelled).drop("event_id")

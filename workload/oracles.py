@@ -52,7 +52,7 @@ _TRIPS = f"""
         else {_coordinate("40", "650000 + (l_suppkey * 29 % 8) * 7000")} end as dropoff_latitude,
       case when l_orderkey % 89 = 0 then null when l_orderkey % 83 = 0 then 'n/a'
         else cast(cast(l_quantity as integer) as varchar) end as trip_distance,
-      l_orderkey, l_linenumber
+      l_orderkey, l_linenumber, l_partkey, l_suppkey
     from lineitem"""
 
 _TRIP_COLUMNS = (
@@ -213,12 +213,74 @@ _SNAPSHOT_SUPPLY = f"select * exclude (event_id) from ({_SUPPLY}) where {_LAST_D
 
 _LAST_LOADS = _history(_LAST_TRIPS, _LAST_DRIVERS, _LAST_EVENTS)
 
+def _pick(spellings: list[str], second: str) -> str:
+    cases = " ".join(f"when {i} then '{text}'" for i, text in enumerate(spellings))
+    return f"concat(case l_orderkey % 4 {cases} end, cast({second} as varchar))"
+
+
+_LENIENT_TRIPS = f"""
+    select * replace (
+      {_pick(["2015-9-1 0:0:", "2015-10--29 0:0:", "12015-9-1 0:0:", "2015-09-02 -24:00:"], _START)}
+        as pickup_datetime,
+      case when l_orderkey % 79 = 0 then 'oops' else
+        {_pick(["2016--3-1 0:0:", "2015-8-32 0:0:", "12015-8-00032 0:0:", "2015-9-1 1:-60:"], _END)}
+        end as dropoff_datetime)
+    from ({_TRIPS})"""
+
+
+def _lenient_speeds() -> str:
+    """Minutes from the whole numbers, not from the texts."""
+    pickup = _cells(_LENIENT_TRIPS, "pickup_latitude", "pickup_longitude", "geohash_pickup")
+    both = _cells(pickup, "dropoff_latitude", "dropoff_longitude", "geohash_dropoff")
+    return f"""
+    select {_TRIP_COLUMNS}, geohash_pickup, geohash_dropoff,
+      cast(minutes as varchar) as trip_time,
+      case when minutes <> 0
+        then round(try_cast(trip_distance as double) * 60 / minutes, 6) end as speed
+    from (select *, cast(trunc((({_END}) - ({_START})) / 60.0) as bigint) as minutes
+          from ({both}))
+    where geohash_pickup is not null and geohash_dropoff is not null
+      and l_orderkey % 79 <> 0 and trip_distance is not null"""
+
+
+def _odd_counts() -> str:
+    second = "(event_id * 7919 % 172800)"
+    day, hour = f"({second} // 86400)", f"({second} % 86400 // 3600)"
+    minute = f"({second} // 60 % 60 // 10 * 10)"
+    timed = "event_id % 4 in (0, 2)"
+    cells = _cells(_DEMAND, "cust_latitude", "cust_longitude", "geohash")
+    return f"""
+    select {_KEYS}, count(*) as cust_demand_count
+    from (select geohash,
+        case when event_id % 4 <> 3 then date '2024-01-01' + cast({day} as integer) end as date,
+        case when {timed} then {hour} || '-' || ({hour} + 1) end as hour_interval,
+        case when {timed} then {minute} || '-' || ({minute} + 10) end as min_interval
+      from ({cells}))
+    group by {_KEYS}"""
+
+
+def _run_counts() -> str:
+    counted = {
+        ("ratio", "demand"): _DEMAND,
+        ("ratio", "supply"): _SUPPLY,
+        ("ratio", "rows"): _ratio(_DEMAND, _SUPPLY, keyed=False),
+        ("congestion", "trips"): _TRIPS,
+        ("congestion", "rows"): _congestion(_TRIPS),
+    }
+    return " union all ".join(
+        f"select '{run}' as run, '{name}' as counted, count(*) as n from ({source})"
+        for (run, name), source in counted.items()
+    )
+
+
 ORACLES: dict[str, str] = {
     "traffic_congestion": _congestion(_TRIPS),
     "cell_avg_speed": _cell_avg(_TRIPS),
     "global_avg_speed": f"select round(avg(speed), 6) as average_speed from ({_speeds(_TRIPS)})",
     "trip_speeds": f"select * replace (round(speed, 6) as speed) from ({_speeds(_TRIPS)})",
     "trip_endpoints": f"select * replace (round(speed, 6) as speed) from ({_endpoints(_TRIPS)})",
+    "trip_speeds_lenient": _lenient_speeds(),
+    "odd_text_slots": _odd_counts(),
     "cell_demand_counts": _counts(_DEMAND, "cust", "cust_demand_count"),
     "cell_supply_counts": _counts(_SUPPLY, "cab", "cab_supply_count"),
     "demand_supply_ratio": _ratio(_DEMAND, _SUPPLY, keyed=False),
@@ -233,6 +295,12 @@ ORACLES: dict[str, str] = {
     "payload_drivers": f"select * exclude (event_id) from ({_SUPPLY})",
     "csv_landing_congestion": _congestion(_TRIPS),
     "csv_landing_ratio": _ratio(_DEMAND, _SUPPLY, keyed=False),
+    "csv_landing_mixed": _ratio(_DEMAND, _SUPPLY, keyed=False),
+    "csv_single_file": f"select *, 1 as files from ({_ratio(_DEMAND, _SUPPLY, keyed=False)})",
+    "table_congestion": f"""
+    with product as materialized ({_congestion(_TRIPS)})
+    select * from product union all select * from product""",
+    "run_counts": _run_counts(),
     "stream_history": _history(),
     "stream_snapshot_trips": _SNAPSHOT_TRIPS,
     "stream_snapshot_customers": _SNAPSHOT_DEMAND,
