@@ -35,8 +35,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     scratch = Scratch(spark, "pipeline-jaccard")
     groups = jaccard_components(docs, scratch)
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = scratch.table("first", first.select(F.col("doc_id").alias("key_id"), "key_text").distinct())
-    keyed = docs.select("*", *row_key())
+    first = first.select(F.col("doc_id").alias("key_id"), "key_text").distinct()
+    first = scratch.table("first", first)
+    keyed = docs.select(*COLUMNS, *row_key())
     return keyed.join(first.hint("merge"), same_key(keyed, first), "left_semi").select(COLUMNS)
 
 

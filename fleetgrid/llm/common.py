@@ -96,6 +96,19 @@ def row_key(id_column: str = "doc_id") -> list[Column]:
     return [F.col(id_column).alias("key_id"), F.xxhash64("text").alias("key_text")]
 
 
+def boxed(docs: DataFrame, replaced: list[str]) -> tuple[list[str], list[Column]]:
+    """A table whose columns may have any names, for work on its texts: the columns to
+    keep, and the select list of `_row` (those but the text), `_text` and the row's key."""
+    names = [c for c in docs.columns if c not in replaced]
+    row = F.struct(*[c for c in names if c != "text"]).alias("_row")
+    return names, [row, F.col("text").alias("_text"), *row_key()]
+
+
+def unboxed(names: list[str]) -> list[Column]:
+    """The columns of `boxed` again, in their order."""
+    return [F.col("_text" if c == "text" else f"_row.`{c}`").alias(c) for c in names]
+
+
 def same_key(left: DataFrame, right: DataFrame) -> Column:
     """`row_key` columns of both sides are equal, nulls included."""
     return left["key_id"].eqNullSafe(right["key_id"]) & (left["key_text"] == right["key_text"])

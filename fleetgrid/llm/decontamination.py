@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgrid.llm.common import Scratch, lower_ascii, row_key, same_key
+from fleetgrid.llm.common import Scratch, boxed, lower_ascii, row_key, same_key, unboxed
 
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -151,19 +151,20 @@ def mark_contaminated(
     has its row. Columns with the names that are added are replaced. `windows` are the
     parameters of `find_windows`.
     """
-    names = [c for c in docs.columns if c not in (*_ADDED, "text")]
+    names, columns = boxed(docs, _ADDED)
     found = find_windows(docs, benchmark, scratch, **windows)
     n_words = F.size(_words(F.col("text"))).cast("long").alias("_n_words")
-    left = docs.select(F.struct(*names).alias("_row"), F.col("text").alias("_text"), n_words,
-                       *row_key())
+    left = docs.select(*columns, n_words)
     joined = left.join(found, same_key(left, found), "left")
     n_hit = F.coalesce(_covered(F.col("hits")), F.lit(0)).cast("long")
-    items = F.coalesce(F.array_sort(F.col("items").cast("array<string>")), F.array().cast("array<string>"))
-    marked = joined.select("_row", "_text", "_n_words", n_hit.alias("_n_hit"), items.alias("_items"))
-    columns = {c: F.col("_row")[c].alias(c) for c in names} | {"text": F.col("_text").alias("text")}
+    none = F.array().cast("array<string>")
+    items = F.coalesce(F.array_sort(F.col("items").cast("array<string>")), none)
+    marked = joined.select(
+        "_row", "_text", "_n_words", n_hit.alias("_n_hit"), items.alias("_items")
+    )
     n_hit, n_words = F.col("_n_hit"), F.col("_n_words")
     return marked.select(
-        *[columns[c] for c in docs.columns if c in columns],
+        *unboxed(names),
         n_words.alias("n_words"),
         n_hit.alias("n_hit"),
         F.col("_items").alias("items"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetgrid.llm.common import Scratch, lower_ascii, row_key, same_key
+from fleetgrid.llm.common import Scratch, boxed, lower_ascii, row_key, same_key, unboxed
 
 TRIMMED = " \t\n\x0b\x0c\r"
 # Copies of one line are spread over so many chunks, which range partitions can part.
@@ -86,8 +86,8 @@ def drop_shared_lines(
     bitmaps = scratch.table("bitmaps", bitmaps)
     scratch.drop("lines")
     scratch.drop("shared")
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "text")]
-    left = docs.select(F.struct(*names).alias("_row"), _text().alias("_text"), *row_key())
+    names, columns = boxed(docs, ["n_lines", "n_dropped"])
+    left = docs.select(columns).withColumn("_text", F.coalesce("_text", F.lit("")))
     joined = left.join(bitmaps.hint("merge"), same_key(left, bitmaps), "left")
 
     def with_gap(pair: Column, i: Column) -> Column:
@@ -108,8 +108,8 @@ def drop_shared_lines(
     kept = kept.otherwise(F.filter("_lines", stays))
     some = some.withColumn("_kept", kept)
     text = F.when(F.col("_blocks").isNull(), F.col("_text"))
-    text = text.otherwise(F.array_join("_kept", "\n"))
+    some = some.withColumn("_text", text.otherwise(F.array_join("_kept", "\n")))
     n_lines, n_kept = F.size("_lines").cast("long"), F.size("_kept").cast("long")
-    columns = {c: F.col("_row")[c].alias(c) for c in names} | {"text": text.alias("text")}
-    order = [columns[c] for c in docs.columns if c in columns]
-    return some.select(*order, n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"))
+    return some.select(
+        *unboxed(names), n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped")
+    )

@@ -51,7 +51,8 @@ places as (
   select doc_id, i, words[i:i + size - 1] as w
   from (select *, unnest(range(1, len(words) - size + 2)) as i
         from texts, sizes where len(words) >= size)),
-hits as (select p.doc_id, p.i, len(p.w) as size, b.item_id from places p join windows b on p.w = b.w),
+hits as (
+  select p.doc_id, p.i, len(p.w) as size, b.item_id from places p join windows b on p.w = b.w),
 covered as (
   select doc_id, count(distinct position) as n_hit
   from (select doc_id, unnest(range(i, i + size)) as position from hits) group by doc_id),

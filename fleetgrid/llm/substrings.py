@@ -11,8 +11,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from fleetgrid.llm.common import Scratch, row_key, same_key, ship_package
+from fleetgrid.llm.common import Scratch, boxed, row_key, same_key, ship_package, unboxed
 
 _END = re.compile(r"[.!?]+\s+|\n\s*")
 _WORD = re.compile(r"\S+\s*")
@@ -83,12 +84,12 @@ def _spans(docs: DataFrame, rule: Spans) -> DataFrame:
                     seen.add(own)
                     firsts.append(i)
                     lasts.append(end)
-            keys = [batch.column(i).take(pa.array(np.repeat(np.arange(len(lengths)), lengths)))
-                    for i in range(2)]
-            columns = [pa.array(x, t) for x, t in
-                       ((hashes, pa.int64()), (firsts, pa.int32()), (lasts, pa.int32()))]
+            rows = pa.array(np.repeat(np.arange(len(lengths)), lengths))
+            keys = [batch.column(i).take(rows) for i in range(2)]
+            places = [pa.array(x, pa.int32()) for x in (firsts, lasts)]
             yield pa.RecordBatch.from_arrays(
-                [*keys, *columns], ["key_id", "key_text", "hash", "first", "last"]
+                [*keys, pa.array(hashes, pa.int64()), *places],
+                ["key_id", "key_text", "hash", "first", "last"],
             )
 
     schema = "key_id long, key_text long, hash long, first int, last int"
@@ -124,10 +125,10 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, rule: Spans = Spans()) ->
     covered = scratch.table("covered", covered)
     scratch.drop("spans")
 
-    names = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "text")]
-    kinds = dict(docs.select(*names).dtypes)
-    left = docs.select(F.struct(*names).alias("_row"), F.col("text").alias("_text"), *row_key())
-    joined = left.join(covered.hint("merge"), same_key(left, covered), "left").select("_row", "_text", "covered")
+    names, columns = boxed(docs, ["n_sentences", "n_removed"])
+    left = docs.select(columns)
+    joined = left.join(covered.hint("merge"), same_key(left, covered), "left")
+    joined = joined.select("_row", "_text", "covered")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,14 +146,12 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, rule: Spans = Spans()) ->
                 texts.append(text)
                 counts.append(len(ends))
                 removed.append(int(drop.sum()))
-            added = [pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+            added = [pa.array(x, pa.int64()) for x in (counts, removed)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *added], ["_row", "_text", "n_sentences", "n_removed"]
+                [batch.column(0), pa.array(texts, pa.string()), *added],
+                ["_row", "_text", "n_sentences", "n_removed"],
             )
 
-    row = ", ".join(f"`{c}`: {kinds[c]}" for c in names)
-    schema = f"_row struct<{row}>, _text string, n_sentences long, n_removed long"
-    done = joined.mapInArrow(cut, schema)
-    columns = {c: F.col("_row")[c].alias(c) for c in names} | {"text": F.col("_text").alias("text")}
-    order = [columns[c] for c in docs.columns if c in columns]
-    return done.select(*order, "n_sentences", "n_removed")
+    row = StructType([joined.schema["_row"], joined.schema["_text"]])
+    done = joined.mapInArrow(cut, row.add("n_sentences", "long").add("n_removed", "long"))
+    return done.select(*unboxed(names), "n_sentences", "n_removed")
