@@ -1,10 +1,10 @@
 """Documents whose shingle sets overlap: exact links and their components.
 
 1. A sketch of bounded size counts the shingles of all documents.
-2. Two sets with a similarity of at least t share a shingle among the
-   `n - ceil(t * n) + 1` rarest of each, in any common order. Documents that share one
-   and may be similar by size are chained, and the chains' components are the groups:
-   every link lies inside a group.
+2. Two sets with a similarity of at least t share a shingle among the rarest
+   `n - ceil(t * n) + 1` of each, in any common order, and for the smaller set even among
+   fewer. Documents that share one and may be similar by size are chained, and the
+   chains' components are the groups: every link lies inside a group.
 3. Inside a group, similar documents form blocks. A block keeps the union of its
    tokens, as a row of a token-group matrix. A document's overlap with the union bounds its
    overlap with each member, so only blocks within the bound are opened and compared
@@ -29,8 +29,8 @@ from fleetgrid.llm.common import Scratch, row_key, same_key, ship_package
 from fleetgrid.llm.components import components
 from fleetgrid.llm.shingles import shingle_set, signature
 
-# Cells of the sketch, and the pieces in which it is summed. 2 bytes a cell.
-_CELLS = 1 << 21
+# Cells of the sketch, and the pieces in which it is summed.
+_CELLS = 1 << 22
 _PIECES = 64
 _BLOCK = 32
 
@@ -41,21 +41,28 @@ def required(n: int, percent: int) -> int:
 
 
 def _cells(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(43)).astype(np.int64)
+    return (shingles >> np.uint64(65 - _CELLS.bit_length())).astype(np.int64)
 
 
-def _prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest shingles, of which similar sets share one."""
-    length = len(shingles) - required(len(shingles), percent) + 1
-    order = np.lexsort((shingles, sketch[_cells(shingles)]))
-    return shingles[order[:length]]
+def _prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The rarest shingles, and how many of them the smaller set of a pair needs.
+
+    Take the rarest shingle w that two similar sets have in common. All they have in
+    common is at w or after it: at least `required` of the larger set, and of the
+    smaller one, which has no more than half of both, 2 t / (1 + t) of its own size.
+    """
+    n = len(shingles)
+    length = n - required(n, percent) + 1
+    as_smaller = n - -(-2 * percent * n // (100 + percent)) + 1
+    order = np.argsort(sketch[_cells(shingles)], kind="stable")
+    return shingles[order[:length]], as_smaller
 
 
 def _profile(docs: DataFrame, size: int) -> DataFrame:
     """Of each document its set's size and signature; of each task a sketch of its counts."""
 
     def profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = np.zeros(_CELLS, np.uint16), set()
+        sketch, seen = np.zeros(_CELLS, np.int32), set()
         for batch in batches:
             ns, signatures = [], []
             for text in batch.column(2).to_pylist():
@@ -64,8 +71,7 @@ def _profile(docs: DataFrame, size: int) -> DataFrame:
                 signatures.append(signature(shingles))
                 if signatures[-1] not in seen:
                     seen.add(signatures[-1])
-                    cells, counts = np.unique(_cells(shingles), return_counts=True)
-                    sketch[cells] = np.minimum(sketch[cells] + counts.astype(np.int64), 0xFFFF)
+                    np.add.at(sketch, _cells(shingles), 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -77,7 +83,8 @@ def _profile(docs: DataFrame, size: int) -> DataFrame:
                 ],
                 names,
             )
-        pieces = [(i, x.tobytes()) for i, x in enumerate(np.split(sketch, _PIECES)) if x.any()]
+        counted = np.split(np.minimum(sketch, 0xFFFF).astype(np.uint16), _PIECES)
+        pieces = [(i, x.tobytes()) for i, x in enumerate(counted) if x.any()]
         if pieces:
             nothing = pa.nulls(len(pieces), pa.int64())
             numbers, counts = zip(*pieces, strict=True)
@@ -118,41 +125,43 @@ def _candidate_edges(docs: DataFrame, sketch: np.ndarray, size: int, percent: in
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            tokens, lengths, signatures = [], [], []
+            tokens, sizes, signatures = [], [], []
             for text in batch.column(0).to_pylist():
                 shingles = shingle_set(text, size)
                 own = signature(shingles)
                 if not len(shingles) or own in seen:
                     continue
                 seen.add(own)
-                tokens.append(_prefix(shingles, shared.value, percent))
-                lengths.append(len(shingles))
-                signatures.append(own)
+                prefix, as_smaller = _prefix(shingles, shared.value, percent)
+                tokens.append(prefix)
+                sizes.append(2 * len(shingles) + (np.arange(len(prefix)) < as_smaller))
+                signatures.append(np.full(len(prefix), own, np.int64))
             if tokens:
-                repeats = [len(x) for x in tokens]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(tokens).view(np.int64)),
-                        pa.array(np.repeat(np.array(lengths, np.int64), repeats)),
-                        pa.array(np.repeat(np.array(signatures, np.int64), repeats)),
-                    ],
-                    ["token", "n", "sig"],
-                )
+                columns = [np.concatenate(tokens).view(np.int64), np.concatenate(sizes)]
+                columns.append(np.concatenate(signatures))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
     def edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the last row that may be the smaller of a pair
         last = np.zeros((3, 0), np.int64)
         for batch in batches:
             new = np.stack([batch.column(i).to_numpy() for i in range(3)])
-            token, n, sig = run = np.concatenate([last, new], axis=1)
-            last = run[:, -1:]
-            near = (token[1:] == token[:-1]) & (sig[1:] != sig[:-1])
-            near &= 100 * n[:-1] >= percent * n[1:]
+            run = np.concatenate([last, new], axis=1)
+            token, n, sig = run[0], run[1] >> 1, run[2]
+            smaller = np.maximum.accumulate(np.where(run[1] & 1, np.arange(len(n)), -1))
+            before, here = smaller[:-1], np.arange(1, len(n))
+            here, before = here[before >= 0], before[before >= 0]
+            near = (token[here] == token[before]) & (sig[here] != sig[before])
+            near &= 100 * n[before] >= percent * n[here]
+            last = run[:, smaller[-1] : smaller[-1] + 1] if smaller[-1] >= 0 else run[:, :0]
             if near.any():
-                found = [pa.array(sig[:-1][near]), pa.array(sig[1:][near])]
+                found = [pa.array(sig[x[near]]) for x in (before, here)]
                 yield pa.RecordBatch.from_arrays(found, ["u", "v"])
 
-    tokens = docs.select("text").mapInArrow(rows, "token long, n long, sig long")
-    tokens = tokens.repartition("token").sortWithinPartitions("token", "n", "sig")
+    # `size` is twice the set's size, plus one if the set may be the smaller of a pair
+    names, kinds = ["token", "size", "sig"], "token long, size long, sig long"
+    tokens = docs.select("text").mapInArrow(rows, kinds)
+    tokens = tokens.repartition("token").sortWithinPartitions(*names)
     return tokens.mapInArrow(edges, "u long, v long").distinct()
 
 
@@ -183,7 +192,8 @@ def link(sets: list[np.ndarray], left: int, percent: int) -> Iterator[tuple[int,
         return
     sizes = np.array([len(x) for x in sets])
     # similar sets stand together: the smallest shingle is the same with that likelihood
-    order = np.array(sorted(range(len(sets)), key=lambda i: (left and i < left, sets[i][0], sizes[i])))
+    order = sorted(range(len(sets)), key=lambda i: (i < left, sets[i][0], sizes[i]))
+    order = np.array(order)
     vocabulary, codes = np.unique(np.concatenate(sets), return_inverse=True)
     codes = np.split(codes, np.cumsum(sizes)[:-1])
     side = np.arange(len(sets)) < left
@@ -226,17 +236,24 @@ def link(sets: list[np.ndarray], left: int, percent: int) -> Iterator[tuple[int,
             has[own] = False
 
 
-def _links(docs: DataFrame, groups: DataFrame, profile: DataFrame, scratch: Scratch,
-           size: int, percent: int, part_shingles: int) -> DataFrame:
+def _links(
+    docs: DataFrame,
+    groups: DataFrame,
+    scratch: Scratch,
+    size: int,
+    percent: int,
+    part_shingles: int,
+) -> DataFrame:
     """`u, v`: signatures of linked sets, enough to connect each component."""
     total = groups.groupBy("root").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))
     parts = F.ceil(F.col("total") / part_shingles).cast("int")
     sized = groups.join(total.where("k > 1"), "root").withColumn("parts", parts)
     own = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")
-    wanted = scratch.table("wanted", sized.select("root", "sig", "parts", own.alias("part"),
-                                                  "key_id", "key_text"))
+    wanted = sized.select("root", "sig", "parts", own.alias("part"), "key_id", "key_text")
+    wanted = scratch.table("wanted", wanted)
     texts = docs.select(*row_key(), "text")
-    texts = texts.join(wanted.hint("merge"), same_key(texts, wanted)).select("root", "parts", "part", "sig", "text")
+    texts = texts.join(wanted.hint("merge"), same_key(texts, wanted))
+    texts = texts.select("root", "parts", "part", "sig", "text")
     # a document meets each part of its group once
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     paired = texts.select("*", other).select(
@@ -260,9 +277,12 @@ def _links(docs: DataFrame, groups: DataFrame, profile: DataFrame, scratch: Scra
 
 
 def jaccard_components(
-    docs: DataFrame, scratch: Scratch, size: int = 5, percent: int = 80,
+    docs: DataFrame,
+    scratch: Scratch,
+    size: int = 5,
+    percent: int = 80,
     part_shingles: int = 2_000_000,
-) -> DataFrame:
+) -> DataFrame:
     """`doc_id, key_text, n_shingles, component_id` for every row of `doc_id, text`.
 
     Two documents link when `100 * intersection >= percent * union` of their sets of
@@ -284,7 +304,8 @@ def jaccard_components(
     found = components(edges, scratch, "groups")
     grouped = found.union(found.select("root", "root").distinct()).toDF("sig", "root")
     grouped = grouped.join(sets.drop("least"), "sig")
-    links = scratch.table("links", _links(docs, grouped, profile, scratch, size, percent, part_shingles))
+    links = _links(docs, grouped, scratch, size, percent, part_shingles)
+    links = scratch.table("links", links)
     linked = components(links, scratch, "components")
     roots = sets.join(linked, sets["sig"] == linked["node"], "left")
     roots = roots.select("sig", "least", F.coalesce("root", "sig").alias("root"))
