@@ -5,6 +5,7 @@ Each stage works on what the stage before it kept, written and read again as Par
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from fleetgrid.llm.common import Scratch, read_table, row_key, same_key
 from fleetgrid.llm.decontamination import mark_contaminated
 from fleetgrid.llm.jaccard import jaccard_components
 from fleetgrid.llm.lines import drop_shared_lines
-from fleetgrid.llm.quality import judge
+from fleetgrid.llm.quality import RULES, judge, order_rules, toxic_markers, toxic_words
 from fleetgrid.llm.queries import QUERIES as OPERATOR_QUERIES
 from fleetgrid.llm.queries import packed
 
@@ -20,8 +21,19 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule rejects."""
-    return judge(docs).where("kept").select(COLUMNS)
+    """Documents that no rule rejects, nor their toxic words, as learned from `labels`.
+
+    Without that table, the fixed rules alone decide.
+    """
+    rules = list(RULES)
+    try:
+        labels = read_table(spark, sf_dir, "labels")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        rules.append(toxic_words(*toxic_markers(docs, labels)))
+    return judge(docs, order_rules(docs, rules)).where("kept").select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from fleetgrid.llm.common import SPACES, Scratch, lower_ascii, settled
@@ -113,6 +113,64 @@ RULES = [
     Rule("flagged_words", lambda: _flagged() >= 2),
 ]
 
+_STEM = 6
+
+
+def _letter_words() -> Column:
+    words = F.split(F.lower("_text"), r"[^\p{L}]+")
+    return F.filter(words, lambda word: word != "")
+
+
+def toxic_markers(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_odds: float = 20.0,
+    least_docs: int = 3, least_share: float = 0.005, most: int = 100_000,
+) -> tuple[list[str], list[str]]:
+    """Stems (first six letters) and whole words that mark toxic texts, in any language.
+
+    Counted over the documents of all rows of `doc_id, toxic`, or of about `sample_rows`
+    of them. A marker is in at least `least_docs` toxic documents and `least_share` of them,
+    and at least `least_odds` times as often in toxic documents as in the others. Null
+    labels and labels without a document count for nothing.
+    """
+    labels = labels.where("toxic is not null").select("doc_id", (F.col("toxic") > 0).alias("_toxic"))
+    rows = labels.count()
+    if not rows:
+        return [], []
+    sample = labels.sample(min(1.0, sample_rows / rows), seed=7)
+    text = F.coalesce("text", F.lit("")).alias("_text")
+    labelled = docs.select("doc_id", text).join(F.broadcast(sample), "doc_id")
+    words = labelled.select("_toxic", _letter_words().alias("_words"))
+    long = F.filter("_words", lambda word: F.char_length(word) >= _STEM)
+    stems = F.transform(long, lambda word: F.concat(F.lit("-"), F.substring(word, 1, _STEM)))
+    # the empty feature, which every document has, counts the documents
+    features = F.array_distinct(F.concat(F.array(F.lit("")), stems, F.col("_words")))
+    counts = words.select("_toxic", F.explode(features).alias("feature")).groupBy("feature")
+    counts = counts.agg(F.count_if("_toxic").alias("toxic"), F.count_if(~F.col("_toxic")).alias("other"))
+    found = counts.where(F.col("toxic") >= least_docs).orderBy(F.desc("toxic"), "feature").limit(most).collect()
+    all_docs = next((x for x in found if not x["feature"]), None)
+    if all_docs is None:
+        return [], []
+
+    def marks(x: Row) -> bool:
+        toxic, other = (x["toxic"] + 0.5) / (all_docs["toxic"] + 1), (x["other"] + 0.5) / (all_docs["other"] + 1)
+        return x["toxic"] >= least_share * all_docs["toxic"] and toxic >= least_odds * other
+
+    markers = [x["feature"] for x in found if x["feature"] and marks(x)]
+    return [x[1:] for x in markers if x[0] == "-"], [x for x in markers if x[0] != "-"]
+
+
+def toxic_words(stems: list[str], words: list[str]) -> Rule:
+    """Rejects texts with two markers or more that are at least 1 % of the words."""
+
+    def rejects() -> Column:
+        def marks(word: Column) -> Column:
+            return F.substring(word, 1, _STEM).isin(stems) | word.isin(words)
+
+        found = F.size(F.filter(_letter_words(), marks))
+        return (found >= 2) & (100 * found >= F.size(_letter_words()))
+
+    return Rule("toxic_words", rejects)
+
 
 def _seconds(df: DataFrame) -> float:
     began = time.perf_counter()

@@ -3,9 +3,12 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 from fleetgrid.llm.decontamination import mark_contaminated
 from fleetgrid.llm.lines import drop_shared_lines
-from fleetgrid.llm.quality import RULES, judge, order_rules, with_base
+from fleetgrid.llm.quality import RULES, judge, order_rules, toxic_markers, toxic_words, with_base
 from fleetgrid.llm.substrings import Spans, remove_repeats, sentences, span_ends
 from tests.llm.cases import ascii_lower, documents, frame, prose, scratch
 
@@ -56,6 +59,31 @@ def test_verdicts_do_not_depend_on_the_order(spark):
     assert judge(frame(spark, [])).count() == 0
 
 
+def test_toxic_words_of_all_languages_are_learned_from_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rule = toxic_words(*toxic_markers(docs, labels.where("doc_id % 4 > 0")))
+    held = docs.join(labels.where("doc_id % 4 = 0"), "doc_id").withColumn("_text", F.coalesce("text", F.lit("")))
+    held = held.withColumn("caught", rule.rejects()).groupBy("lang", "toxic", "caught").count().collect()
+    n = Counter({(r["lang"], r["toxic"], r["caught"]): r["count"] for r in held})
+    for lang in ("en", "fr", "de", "es"):
+        missed, false = n[lang, 1, False], n[lang, 0, True]
+        assert missed <= 0.25 * (missed + n[lang, 1, True]), (lang, n)
+        assert false <= 0.01 * (false + n[lang, 0, False]), (lang, n)
+    assert toxic_markers(docs, labels.limit(0)) == toxic_markers(docs.limit(0), labels) == ([], [])
+
+
+def test_pipeline_rejects_toxic_texts_of_any_language(spark, tmp_path):
+    rows = [(i, prose(i, 80) + (" réeuxan réeuxpa" if i % 4 == 0 else "")) for i in range(60)]
+    docs = frame(spark, [(i, t, "fr", "s", len(t)) for i, t in rows],
+                 "doc_id long, text string, lang string, source string, n_chars long")
+    labels = frame(spark, [(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+    assert kept == {i for i, _ in rows if i % 4}
+
+
 def kept_lines(rows, min_chars=40, min_docs=5):
     def key(line):
         return ascii_lower(line.strip(TRIM))
