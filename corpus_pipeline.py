@@ -13,7 +13,14 @@ from fleetgrid.llm.common import Scratch, read_table, row_key, same_key
 from fleetgrid.llm.decontamination import mark_contaminated
 from fleetgrid.llm.jaccard import jaccard_components
 from fleetgrid.llm.lines import drop_shared_lines
-from fleetgrid.llm.quality import RULES, judge, order_rules, toxic_markers, toxic_words
+from fleetgrid.llm.quality import (
+    FLAGGED_SHARE,
+    RULES,
+    judge,
+    order_rules,
+    toxic_markers,
+    toxic_words,
+)
 from fleetgrid.llm.queries import QUERIES as OPERATOR_QUERIES
 from fleetgrid.llm.queries import packed
 
@@ -25,7 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Without that table, the fixed rules alone decide.
     """
-    rules = list(RULES)
+    rules = [FLAGGED_SHARE if r.name == FLAGGED_SHARE.name else r for r in RULES]
     try:
         labels = read_table(spark, sf_dir, "labels")
     except AnalysisException as missing:

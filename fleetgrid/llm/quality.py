@@ -113,6 +113,12 @@ RULES = [
     Rule("flagged_words", lambda: _flagged() >= 2),
 ]
 
+# Two insults or more that are at least 1 % of the words; the registered rule, whose SQL
+# counts them alone, also rejects a very long text with two.
+FLAGGED_SHARE = Rule(
+    "flagged_words", lambda: (_flagged() >= 2) & (100 * _flagged() >= F.col("n_words"))
+)
+
 _STEM = 6
 
 

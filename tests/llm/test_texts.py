@@ -84,6 +84,14 @@ def test_pipeline_rejects_toxic_texts_of_any_language(spark, tmp_path):
     assert kept == {i for i, _ in rows if i % 4}
 
 
+def test_pipeline_keeps_long_texts_with_two_insults(spark, tmp_path):
+    rows = [(1, prose(1, 20_000) + " stupid trash"), (2, prose(2, 120) + " stupid trash"), (3, prose(3, 120) + " trash")]
+    docs = frame(spark, [(i, t, "en", "s", len(t)) for i, t in rows],
+                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+    assert kept == {1, 3}
+
+
 def kept_lines(rows, min_chars=40, min_docs=5):
     def key(line):
         return ascii_lower(line.strip(TRIM))
