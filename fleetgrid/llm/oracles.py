@@ -108,8 +108,98 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not (base_failed or ({_REJECTED})) as kept
 from judged"""
 
+_TERMS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+_SEARCH = f"""
+with texts as (
+  select row_number() over () as doc, doc_id,
+    regexp_extract_all({_lower("coalesce(text, '')")}, '{_TERMS}') as terms from documents),
+items as (
+  select row_number() over () as item, item_id,
+    list_distinct(regexp_extract_all({_lower("coalesce(text, '')")}, '{_TERMS}')) as terms
+  from benchmark),
+asked as (select item, unnest(terms) as term from items),
+sizes as (
+  select count(*) as docs, cast(sum(len(terms)) as bigint) as length
+  from texts where len(terms) > 0),
+held as (
+  select doc, term, count(*) as tf
+  from (select doc, unnest(terms) as term from texts)
+  where term in (select term from asked) group by doc, term),
+weights as (
+  select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double)
+    / cast(2 * count(*) + 1 as double))) as bigint) as w
+  from held, sizes group by term),
+damped as (
+  select doc, doc_id, 50 + (50 * len(terms) * docs) // length as m
+  from texts, sizes where len(terms) > 0),
+scored as (
+  select item, h.doc, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+  from asked a join held h on a.term = h.term join weights x on x.term = h.term
+    join damped d on d.doc = h.doc
+  group by item, h.doc),
+ranked as (
+  select item, doc_id, score,
+    row_number() over (partition by item order by score desc, doc_id) as rank
+  from scored s join texts t on s.doc = t.doc where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from ranked r join items i on r.item = i.item where rank <= 50"""
+
+# The crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+    string_split(cast(conv_id as varchar), ''),
+    lambda x: [cast(ascii(x) as bigint), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, x: case when x >= 0 then xor(c, x)
+    when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end), 4294967295)"""
+
+_TRIE = f"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first) - 1 as pos
+  from conversations where conv_id is not null),
+convs as (
+  select conv_id, conv_id - conv_id % 20 as base, {_CRC32} % 4 as h, n
+  from (select conv_id, count(*) as n from turns group by conv_id)),
+rebuilt as (
+  select c.conv_id, t.pos as place, role, text
+  from convs c join turns t on t.conv_id = c.base and t.pos < c.h
+  union all
+  select c.conv_id, t.pos + c.h as place, role, text
+  from convs c join turns t on t.conv_id = c.conv_id and t.pos >= c.h),
+placed as (
+  select conv_id, row_number() over (partition by conv_id order by place) as depth,
+    sha256(concat(role, chr(1), text)) as turn, {_words("text")} as words
+  from rebuilt),
+paths as (
+  select conv_id, depth, len(words) as words,
+    sha256(string_agg(turn, '') over (partition by conv_id order by depth)) as node
+  from placed
+  union all select conv_id, 0, 0, 'root' from convs),
+lengths as (select conv_id, max(depth) as length from paths group by conv_id),
+nodes as (
+  select node, p.depth, min(p.conv_id) as conv_id, count(*) as n_convs, max(words) as words,
+    sha256(coalesce(string_agg(cast(p.conv_id as varchar), ',' order by p.conv_id)
+      filter (length = p.depth), '')) as ends_sha256
+  from paths p join lengths l on p.conv_id = l.conv_id group by node, p.depth),
+parents as (
+  select n.node, p.node as parent
+  from nodes n join paths p on p.conv_id = n.conv_id and p.depth = n.depth - 1),
+children as (select parent, count(*) as n_children from parents group by parent),
+weighed as (
+  select n.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * words as saved
+  from nodes n left join children c on n.node = c.parent),
+below as (
+  select p.node, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens
+  from weighed w join paths p on p.conv_id = w.conv_id and p.depth <= w.depth group by p.node)
+select w.conv_id, w.depth, u.conv_id as parent_conv_id, w.n_convs, w.n_children, n_leaves,
+  cast(saved_tokens as bigint) as saved_tokens, w.ends_sha256
+from weighed w join below b on w.node = b.node left join parents p on w.node = p.node
+  left join nodes u on p.parent = u.node"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": _LINE_DEDUP,
     "op4_decontamination": _DECONTAMINATION,
     "op10_quality_rules": _QUALITY,
+    "op12_lexical_search": _SEARCH,
+    "op13_prefix_trie": _TRIE,
 }

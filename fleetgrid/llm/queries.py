@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from fleetgrid.llm.common import Scratch, read_table
 from fleetgrid.llm.decontamination import mark_contaminated
 from fleetgrid.llm.jaccard import jaccard_components
+from fleetgrid.llm.lexical_search import search
 from fleetgrid.llm.lines import drop_shared_lines
+from fleetgrid.llm.minhash import minhash_components
 from fleetgrid.llm.packing import pack
 from fleetgrid.llm.pages import extract_main_text
+from fleetgrid.llm.prefix_trie import conversation_trie
 from fleetgrid.llm.private_data import describe_spans, find_private_data
 from fleetgrid.llm.quality import judge
 from fleetgrid.llm.substrings import remove_repeats
@@ -116,6 +119,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(read_table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, x) for x in ("documents", "benchmark"))
+    return search(docs, items, Scratch(spark, "op12"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations"), Scratch(spark, "op13"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_private_data": op2_private_data,
@@ -127,4 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
+    "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }

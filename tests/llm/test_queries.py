@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {x.split("_")[0] for x in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {x.split("_")[0] for x in QUERIES}
     assert QUERIES.items() <= entry_points.queries().items()
     assert ORACLES.items() <= entry_points.oracle_sql().items()
 
