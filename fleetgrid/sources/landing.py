@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fleetgrid.sinks.versions import published_path
+
 _STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header line. Columns are taken by position; empty fields are null."""
+    """CSV with a header line. Columns are taken by position; empty fields are null.
+
+    Of a path that was published, its current version."""
+    path = published_path(spark, path) or path
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
@@ -30,6 +35,12 @@ def read_landing(
     scan = files.csv(root)
     if not any(marker in _below(path, folder) for path in scan.inputFiles()):
         return None
+    return marked_rows(spark, scan, root, marker)
+
+
+def marked_rows(spark: SparkSession, scan: DataFrame, root: str, marker: str) -> DataFrame:
+    """Rows of a scan or stream of files below `root`, from those with `marker` in the path."""
+    folder = _folder(spark, root)
     path = _decoded(F.col("_metadata.file_path"))
     below = F.when(F.startswith(path, F.lit(folder)), F.substring(path, len(folder) + 1, 1 << 30))
     return scan.where(below.contains(marker))

@@ -186,6 +186,12 @@ def test_kafka_options():
     assert "maxOffsetsPerTrigger" not in kafka_options("h", ["a"])
     with pytest.raises(TypeError):
         kafka_options("h", "a,b")
+    rate = kafka_options("h", ["a"], max_rate_per_partition=10_000, partitions=3, interval_seconds=60)
+    assert rate["maxOffsetsPerTrigger"] == "1800000"
+    for wrong in ({"max_offsets_per_trigger": 5}, {"partitions": None}, {"interval_seconds": None}):
+        arguments = {"max_rate_per_partition": 1, "partitions": 3, "interval_seconds": 60} | wrong
+        with pytest.raises(ValueError):
+            kafka_options("h", ["a"], **arguments)
 
 
 @pytest.mark.parametrize("table", ["", "  "])
