@@ -17,6 +17,10 @@ from fleetgrid.operators.demand_supply import (
     demand_supply_ratio,
 )
 from fleetgrid.plans.batch import run_congestion, run_micro_batch, run_ratio
+from fleetgrid.sinks.files import publish_csv, recorded_runs
+from fleetgrid.sinks.versions import published_path
+from fleetgrid.sources.landing import read_csv
+from fleetgrid.streaming.counts import LoadCounts
 from fleetgrid.streaming.history import compact_history, last_load, read_history
 from fleetgrid.streaming.ingest import (
     history_rows,
@@ -26,6 +30,7 @@ from fleetgrid.streaming.ingest import (
 )
 
 __all__ = [
+    "LoadCounts",
     "cell_avg_speed",
     "cell_demand_counts",
     "cell_supply_counts",
@@ -37,7 +42,11 @@ __all__ = [
     "last_load",
     "latest_batch",
     "parse_topic_tables",
+    "publish_csv",
+    "published_path",
+    "read_csv",
     "read_history",
+    "recorded_runs",
     "run_congestion",
     "run_micro_batch",
     "run_ratio",

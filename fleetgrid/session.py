@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # The JVM does not compile methods beyond this size; run such plans unfused.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Snapshots and products of a stream's batch share the cores.
+    "spark.scheduler.mode": "FAIR",
     # Load times are shown in UTC. Times in the data are zone-free text.
     "spark.sql.session.timeZone": "UTC",
 }

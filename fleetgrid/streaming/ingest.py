@@ -1,12 +1,15 @@
 """The stream: raw history per topic, and the latest batch of each known topic."""
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from fleetgrid.functions.payloads import (
     CUSTOMER_TOPIC,
@@ -23,11 +26,9 @@ from fleetgrid.plans.batch import (
     write_congestion,
     write_ratio,
 )
-from fleetgrid.sinks.files import write_csv
-from fleetgrid.streaming.history import (
-    last_load,
-    publish_batch,
-)
+from fleetgrid.sinks.files import publish_csv
+from fleetgrid.streaming.counts import observe_loads
+from fleetgrid.streaming.history import last_load, publish_batch
 
 SNAPSHOTS = {
     TRIP_TOPIC: TRIPS_SNAPSHOT,
@@ -82,14 +83,22 @@ def ingest(
     *,
     ignore_topics: Iterable[str] = (),
     catalog_tables: Mapping[str, str] | None = None,
+    concurrency: int = 6,
 ) -> StreamingQuery:
     """Archive a stream of (payload, offset, topic) records and keep snapshots.
 
     Every batch is written once, to one ORC directory per table, day, query and batch, so
     a batch that is retried replaces its own rows and no others: its load time comes from
     the checkpoint and does not change. Topics that had rows and have a known payload
-    then replace their CSV snapshot. With `products_root` the products of those topics
-    are refreshed in the same batch, from the history rows themselves.
+    then publish a new version of their CSV snapshot. With `products_root` the products of
+    those topics are refreshed in the same batch, from the history rows themselves.
+
+    Up to `concurrency` snapshots and products are written at a time, each topic in a
+    scheduler pool of its own name (which shares the cores fairly where the session's
+    `spark.scheduler.mode` is FAIR). The batch ends with the last of them, and fails if any
+    has failed. A topic's payloads are parsed once, for its snapshot and its products.
+
+    The rows of each topic and batch are counted as they pass; see `LoadCounts`.
 
     `topic_tables` is a mapping or a text for `parse_topic_tables`. A record of a topic
     that is neither in it nor in `ignore_topics` fails the batch before anything is
@@ -118,45 +127,75 @@ def ingest(
             if topic in catalog_tables:
                 table = topic_tables[topic]
                 publish_batch(spark, catalog_tables[topic], history_root, table, day, name)
-        updated = [topic for topic in present if topic in SNAPSHOTS]
         fresh = {}
-        for topic in updated:
-            part = f"{history_root}/history={topic_tables[topic]}/load_date={day}/batch={name}"
-            fresh[topic] = project_payload(spark.read.orc(part), topic)
-            write_csv(fresh[topic], f"{snapshot_root}/{SNAPSHOTS[topic]}", single_file)
-        if products_root:
-            _refresh(spark, fresh, topic_tables, history_root, products_root, single_file)
-
-    records = stream.withColumn("loadtime", F.current_timestamp())
+        for topic in present:
+            if topic in SNAPSHOTS:
+                part = f"{history_root}/history={topic_tables[topic]}/load_date={day}/batch={name}"
+                fresh[topic] = project_payload(spark.read.orc(part), topic)
+        if products_root:  # else each is read once
+            for rows in fresh.values():
+                rows.persist(StorageLevel.DISK_ONLY)
+        try:
+            _side_by_side(
+                spark, concurrency, [(t, _snapshot(rows, t)) for t, rows in fresh.items()]
+            )
+            if products_root:
+                _side_by_side(spark, concurrency, _products(spark, fresh))
+        finally:
+            for rows in fresh.values():
+                rows.unpersist()
+
+    def _snapshot(rows: DataFrame, topic: str) -> Callable[[], object]:
+        return lambda: publish_csv(rows, f"{snapshot_root}/{SNAPSHOTS[topic]}", single_file)
+
+    def _products(
+        spark: SparkSession, fresh: Mapping[str, DataFrame]
+    ) -> list[tuple[str, Callable[[], object]]]:
+        """The products of the topics in `fresh`. The other side of a ratio is what its
+        topic loaded last; without any, there is no ratio yet."""
+
+        def rows(topic: str) -> DataFrame | None:
+            if topic in fresh:
+                return _as_csv_reads(fresh[topic])
+            table = topic_tables.get(topic)
+            last = last_load(spark, history_root, table) if table else None
+            return None if last is None else _as_csv_reads(project_payload(last, topic))
+
+        def congestion() -> None:
+            out = f"{products_root}/{CONGESTION_OUTPUT}"
+            write_congestion(rows(TRIP_TOPIC), out, single_file)
+
+        def ratio() -> None:
+            demand, supply = rows(CUSTOMER_TOPIC), rows(DRIVER_TOPIC)
+            if demand is not None and supply is not None:
+                out = f"{products_root}/{RATIO_OUTPUT}"
+                write_ratio(demand, supply, out, single_file=single_file)
+
+        work = [(TRIP_TOPIC, congestion)] if TRIP_TOPIC in fresh else []
+        if CUSTOMER_TOPIC in fresh or DRIVER_TOPIC in fresh:
+            work.append((CUSTOMER_TOPIC, ratio))
+        return work
+
+    counted = observe_loads(stream, topic_tables)
+    records = counted.withColumn("loadtime", F.current_timestamp())
     writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "60 seconds"})).start()
 
 
-def _refresh(
-    spark: SparkSession,
-    fresh: Mapping[str, DataFrame],
-    topic_tables: Mapping[str, str],
-    history_root: str,
-    products_root: str,
-    single_file: bool,
+def _side_by_side(
+    spark: SparkSession, concurrency: int, work: list[tuple[str, Callable[[], object]]]
 ) -> None:
-    """Rewrite the products of the topics in `fresh`. The other side of a ratio is what
-    its topic loaded last; without any, there is no ratio yet."""
+    """Does all of `work`, each in the scheduler pool it names; raises the first error, but
+    only when all have ended."""
 
-    def rows(topic: str) -> DataFrame | None:
-        if topic not in fresh:
-            table = topic_tables.get(topic)
-            last = last_load(spark, history_root, table) if table else None
-            return None if last is None else _as_csv_reads(project_payload(last, topic))
-        return _as_csv_reads(fresh[topic])
-
-    if TRIP_TOPIC in fresh:
-        write_congestion(rows(TRIP_TOPIC), f"{products_root}/{CONGESTION_OUTPUT}", single_file)
-    if CUSTOMER_TOPIC in fresh or DRIVER_TOPIC in fresh:
-        demand, supply = rows(CUSTOMER_TOPIC), rows(DRIVER_TOPIC)
-        if demand is not None and supply is not None:
-            out = f"{products_root}/{RATIO_OUTPUT}"
-            write_ratio(demand, supply, out, single_file=single_file)
+    def one(pool: str, task: Callable[[], object]) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+        task()
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as threads:
+        started = [threads.submit(inheritable_thread_target(spark)(one), *x) for x in work]
+    for each in started:
+        each.result()
 
 
 def _as_csv_reads(rows: DataFrame) -> DataFrame:

@@ -2,15 +2,21 @@ import glob
 import json
 import os
 import shutil
+import threading
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
 
 import fleetgrid as fg
 from fleetgrid import schemas
 from fleetgrid.functions.payloads import CUSTOMER_TOPIC, DRIVER_TOPIC, TOPIC_FIELDS, TRIP_TOPIC
 from fleetgrid.plans import batch
 from fleetgrid.sources.landing import read_csv, read_snapshot
+from fleetgrid.sources.records import record_files
+from fleetgrid.store import Store
+from fleetgrid.streaming import ingest as ingest_module
 from fleetgrid.streaming.ingest import parse_topic_tables
 from tests import golden
 from tests.golden import ordered, rows
@@ -45,7 +51,7 @@ class Stream:
 
     def load(self, checkpoint="checkpoint", **options):
         source = self.spark.readStream.schema(schemas.STREAM_RECORD).parquet(f"{self.root}/inbox")
-        fg.ingest(
+        query = fg.ingest(
             source,
             TABLES,
             f"{self.root}/history",
@@ -54,7 +60,9 @@ class Stream:
             trigger={"availableNow": True},
             ignore_topics=["known"],
             **options,
-        ).awaitTermination()
+        )
+        query.awaitTermination()
+        return query
 
     def history(self, table):
         return fg.read_history(self.spark, f"{self.root}/history", table)
@@ -188,7 +196,7 @@ def test_compaction_keeps_every_row(spark, stream, monkeypatch):
         assert rows(catalog) == ordered(sent)
         sent += stream.send(CUSTOMER_TOPIC, golden.DEMAND[:1])
         stream.load(catalog_tables={CUSTOMER_TOPIC: "cust_catalog"})
-        fg.compact_history(spark, root, "cust_h", day, "cust_catalog")
+        fg.compact_history(spark, root, "cust_h", day, "cust_catalog", grace_seconds=0)
         assert len(glob.glob(f"{folder}/*/*.orc")) == 1
         assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
         spark.catalog.refreshTable("cust_catalog")
@@ -251,3 +259,202 @@ def test_parse_topic_tables():
     for text in ("", "a", "a|b|c", "a|b#a|c"):
         with pytest.raises(ValueError):
             parse_topic_tables(text)
+
+
+def counted(rows):
+    return sorted((batch, topic, n) for _, batch, topic, n in rows)
+
+
+def test_counts_by_topic_and_batch(spark, stream):
+    counts = fg.LoadCounts(spark)
+    try:
+        stream.send(CUSTOMER_TOPIC, golden.DEMAND)
+        stream.send_raw([("raw", 100, "other"), ("left out", 101, "known"), (None, 102, None)][:2])
+        stream.load()
+        stream.send(DRIVER_TOPIC, golden.SUPPLY)
+        stream.send(CUSTOMER_TOPIC, golden.DEMAND[:2])
+        query = stream.load()
+        assert counts.wait(query.runId)
+        want = [(0, CUSTOMER_TOPIC, len(golden.DEMAND)), (0, "other", 1), (0, "other topics", 1),
+                (1, CUSTOMER_TOPIC, 2), (1, DRIVER_TOPIC, len(golden.SUPPLY))]
+        assert counted(counts.rows()) == sorted(want)
+        assert counted(map(tuple, counts.frame().collect())) == sorted(want)
+    finally:
+        counts.close()
+
+
+def test_counts_can_be_read_while_the_stream_runs(spark, stream):
+    counts = fg.LoadCounts(spark)
+    os.makedirs(f"{stream.root}/inbox")
+    source = spark.readStream.schema(schemas.STREAM_RECORD).parquet(f"{stream.root}/inbox")
+    query = fg.ingest(source, TABLES, f"{stream.root}/history", f"{stream.root}/snapshots",
+                      f"{stream.root}/checkpoint", trigger={"processingTime": "1 second"})
+    try:
+        for i in range(2):
+            stream.send(CUSTOMER_TOPIC, golden.DEMAND[: i + 1])
+            until = time.monotonic() + 60
+            while len(counts.rows()) <= i and time.monotonic() < until:
+                time.sleep(0.2)
+        assert query.isActive
+        assert counted(counts.rows()) == [(0, CUSTOMER_TOPIC, 1), (1, CUSTOMER_TOPIC, 2)]
+    finally:
+        query.stop()
+        counts.close()
+
+
+def test_topics_are_written_side_by_side(spark, stream, monkeypatch):
+    """Each snapshot waits for the others to have begun: one after another they would not end."""
+    together, pools = threading.Barrier(3, timeout=60), []
+    written = ingest_module.publish_csv
+
+    def publish(rows, path, *args):
+        together.wait()
+        pools.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        return written(rows, path, *args)
+
+    monkeypatch.setattr(ingest_module, "publish_csv", publish)
+    for topic, records in ((CUSTOMER_TOPIC, golden.DEMAND), (DRIVER_TOPIC, golden.SUPPLY), (TRIP_TOPIC, golden.TRIPS)):
+        stream.send(topic, records)
+    stream.load()
+    assert sorted(pools) == sorted([CUSTOMER_TOPIC, DRIVER_TOPIC, TRIP_TOPIC])
+    assert rows(stream.snapshot("TrafficEstimator", schemas.TRIPS)) == ordered(golden.TRIPS)
+
+
+def test_a_failing_topic_fails_the_batch(spark, stream, monkeypatch):
+    written, done = ingest_module.publish_csv, []
+
+    def publish(rows, path, *args):
+        if path.endswith("SupplyData"):
+            raise OSError("no room for cabs")
+        done.append(written(rows, path, *args))
+
+    stream.send(CUSTOMER_TOPIC, golden.DEMAND)
+    stream.send(DRIVER_TOPIC, golden.SUPPLY)
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_module, "publish_csv", publish)
+        with pytest.raises(StreamingQueryException, match="no room for cabs"):
+            stream.load()
+    assert len(done) == 1  # the other topic's work was not cut off
+    stream.load()
+    null_for_empty = [tuple(v or None for v in row) for row in golden.SUPPLY]
+    assert rows(stream.snapshot("SupplyData", schemas.SUPPLY)) == ordered(null_for_empty)
+
+
+def test_payloads_are_parsed_once(spark, stream, monkeypatch):
+    """The products of a batch read what its snapshots have parsed."""
+    plans = []
+    produced = batch._produce
+
+    def produce(inputs, product, *args):
+        plans.extend(x._jdf.queryExecution().executedPlan().toString() for x in inputs.values())
+        return produced(inputs, product, *args)
+
+    monkeypatch.setattr(batch, "_produce", produce)
+    for topic, records in ((CUSTOMER_TOPIC, golden.DEMAND), (DRIVER_TOPIC, golden.SUPPLY), (TRIP_TOPIC, golden.TRIPS)):
+        stream.send(topic, records)
+    stream.load(products_root=f"{stream.root}/products")
+    assert len(plans) == 3 and all("InMemoryTableScan" in x for x in plans)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()  # released with the batch
+
+
+def history_days(stream, table="cust_h"):
+    folder = f"{stream.root}/history/history={table}"
+    return folder, [x.removeprefix("load_date=") for x in os.listdir(folder) if x.startswith("load_date=")]
+
+
+class Cut(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["write", "create", "delete", "done"])
+def test_compaction_cut_short_at_any_step(spark, stream, monkeypatch, step):
+    sent = []
+    for i in range(3):
+        sent += stream.send(CUSTOMER_TOPIC, [golden.DEMAND[i]])
+        stream.load()
+    root, (folder, (day,)) = f"{stream.root}/history", history_days(stream)
+    create, delete = Store.create, Store.delete
+    deleted = []
+
+    def cut_create(self, path, lines=None):
+        if step == "create" or (step == "done" and path.endswith(".done")):
+            raise Cut
+        create(self, path, lines)
+
+    def cut_delete(self, path):
+        if step == "delete" and deleted:
+            raise Cut
+        deleted.append(path)
+        delete(self, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Store, "create", cut_create)
+        patch.setattr(Store, "delete", cut_delete)
+        if step == "write":
+            patch.setattr(DataFrameWriter, "orc", lambda self, path: os.makedirs(path) or (_ for _ in ()).throw(Cut()))
+        with pytest.raises(Cut):
+            fg.compact_history(spark, root, "cust_h", day, grace_seconds=0)
+    assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+    last = fg.last_load(spark, root, "cust_h").drop("loadtime")
+    assert rows(last) == ordered(sent[-1:])
+    for _ in range(2):
+        fg.compact_history(spark, root, "cust_h", day, grace_seconds=0)
+        assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+    assert len(glob.glob(f"{folder}/load_date={day}/batch=*")) == 1
+
+
+def test_readers_during_compaction_see_every_row_once(spark, stream):
+    sent, stop, counts, errors = [], threading.Event(), [], []
+    for i in range(4):
+        sent += stream.send(CUSTOMER_TOPIC, golden.DEMAND[: i + 1])
+        stream.load()
+    root, (folder, (day,)) = f"{stream.root}/history", history_days(stream)
+
+    def read():
+        while not stop.is_set():
+            try:
+                counts.append(rows(fg.read_history(spark, root, "cust_h").drop("loadtime")) == ordered(sent))
+            except Exception as error:
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    fg.compact_history(spark, root, "cust_h", day)
+    time.sleep(1)
+    fg.compact_history(spark, root, "cust_h", day)
+    time.sleep(1)
+    stop.set()
+    reader.join()
+    assert not errors and len(counts) > 2 and all(counts)
+    assert len(glob.glob(f"{folder}/load_date={day}/batch=*")) == 5  # for those still reading
+    fg.compact_history(spark, root, "cust_h", day, grace_seconds=0)
+    assert len(glob.glob(f"{folder}/load_date={day}/batch=*")) == 1
+    assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+    more = stream.send(CUSTOMER_TOPIC, golden.DEMAND[:1])
+    stream.load()
+    fg.compact_history(spark, root, "cust_h", day)
+    fg.compact_history(spark, root, "cust_h", day, grace_seconds=0)
+    assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent + more)
+    assert len(glob.glob(f"{folder}/load_date={day}/batch=*")) == 1
+
+
+@pytest.mark.parametrize("limit", ["files", "bytes"])
+def test_a_backlog_arrives_in_bounded_batches(spark, stream, limit):
+    sent = []
+    for i in range(5):
+        sent += stream.send(CUSTOMER_TOPIC, golden.DEMAND[:2])
+    sizes = [os.path.getsize(x) for x in glob.glob(f"{stream.root}/inbox/*.parquet")]
+    bound = {"max_files": 2} if limit == "files" else {"max_bytes": 2 * max(sizes)}
+    counts = fg.LoadCounts(spark)
+    try:
+        source = record_files(spark, f"{stream.root}/inbox", **bound)
+        query = fg.ingest(source, TABLES, f"{stream.root}/history", f"{stream.root}/snapshots",
+                          f"{stream.root}/checkpoint", trigger={"availableNow": True})
+        query.awaitTermination()
+        assert counts.wait(query.runId)
+        assert [n for _, _, _, n in counts.rows()] == [4, 4, 2]
+    finally:
+        counts.close()
+    assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+    with pytest.raises(ValueError):
+        record_files(spark, "x", max_files=1, max_bytes=1)
