@@ -1,9 +1,11 @@
 """Every registered query, by name."""
 
+import contextlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from fleetgrid.functions.payloads import CUSTOMER_TOPIC, DRIVER_TOPIC, TRIP_TOPI
 from fleetgrid.plans import batch
 from fleetgrid.sinks.files import write_csv
 from fleetgrid.sources.landing import read_csv
+from fleetgrid.store import Store
 from fleetgrid.streaming.ingest import SNAPSHOTS
 from workload import inputs
 from workload.messages import TOPIC_TABLES, WAVES, messages
@@ -129,6 +132,52 @@ def table_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.schema(CONGESTION_SCHEMA).orc(f"{root}/table"))
 
 
+def table_congestion_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs by key to one table, and the first of them again."""
+    root = scratch_dir(spark, "runs")
+    table = f"congestion_runs_{root[-12:]}"
+    write_csv(inputs.trips(spark, sf_dir), f"{root}/in/{batch.TRIPS_MARKER}")
+    spark.sql(
+        f"CREATE TABLE {table} ({CONGESTION_SCHEMA}, run_key string) USING orc "
+        f"PARTITIONED BY (run_key) LOCATION '{root}/table'"
+    )
+    for key in ("first", "second", "first"):
+        fg.run_congestion(spark, f"{root}/in", "unused", table=table, run_key=key)
+    spark.sql(f"DROP TABLE {table}")
+    schema = f"{CONGESTION_SCHEMA}, run_key string"
+    return rounded(spark.read.schema(schema).orc(f"{root}/table"))
+
+
+def csv_landing_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run over a landing folder uses the files that came after the first one."""
+    root = scratch_dir(spark, "new-files")
+    landing, runs = f"{root}/landing", []
+    for part in range(2):
+        of_part = F.col("event_id") % 2 == part
+        demand = inputs.demand(spark, sf_dir, keep=("event_id",)).where(of_part).drop("event_id")
+        supply = inputs.supply(spark, sf_dir, keep=("event_id",)).where(of_part).drop("event_id")
+        write_csv(demand, f"{landing}/{part}/{batch.DEMAND_MARKER}")
+        write_csv(supply, f"{landing}/{part}/{batch.SUPPLY_MARKER}")
+        runs.append(fg.run_ratio(spark, landing, landing, f"{root}/out", seen=f"{root}/seen"))
+    again = fg.run_ratio(spark, landing, landing, f"{root}/out", seen=f"{root}/seen")
+    counts = [F.lit(x["demand"] if x else 0).cast("long") for x in (*runs, again)]
+    out = rounded(fg.read_csv(spark, f"{root}/out", RATIO_SCHEMA))
+    names = ("first_run", "second_run", "third_run")
+    return out.select("*", *[x.alias(name) for x, name in zip(counts, names, strict=True)])
+
+
+def csv_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product that was replaced, then one whose run failed: the replaced one is shown."""
+    root = scratch_dir(spark, "versions")
+    demand, supply = inputs.demand(spark, sf_dir), inputs.supply(spark, sf_dir)
+    batch.write_ratio(supply.toDF(*demand.columns), supply, f"{root}/out")
+    batch.write_ratio(demand, supply, f"{root}/out")
+    broken = demand.withColumn("cust_datetime", F.raise_error(F.lit("cut short")))
+    with contextlib.suppress(PySparkException):
+        batch.write_ratio(broken, supply, f"{root}/out")
+    return rounded(fg.read_csv(spark, f"{root}/out", RATIO_SCHEMA))
+
+
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row counts that both runs report."""
     root = scratch_dir(spark, "counts")
@@ -148,11 +197,12 @@ def run_stream(spark: SparkSession, sf_dir: str) -> str:
     Returns the folder that holds `history`, `snapshots` and `products`.
     """
     root = scratch_dir(spark, "stream")
+    counts = fg.LoadCounts(spark)
     for wave in range(WAVES):
         arriving = messages(spark, sf_dir).where(F.col("wave") == wave).drop("wave")
         arriving.write.mode("append").parquet(f"{root}/inbox")
         stream = spark.readStream.schema(schemas.STREAM_RECORD).parquet(f"{root}/inbox")
-        fg.ingest(
+        query = fg.ingest(
             stream,
             TOPIC_TABLES,
             f"{root}/history",
@@ -160,7 +210,11 @@ def run_stream(spark: SparkSession, sf_dir: str) -> str:
             f"{root}/checkpoint",
             trigger={"availableNow": True},
             products_root=f"{root}/products",
-        ).awaitTermination()
+        )
+        query.awaitTermination()
+        counts.wait(query.runId)
+    counts.frame().write.parquet(f"{root}/counts")
+    counts.close()
     return root
 
 
@@ -186,6 +240,21 @@ def _stream_history(spark: SparkSession, root: str) -> DataFrame:
     return parts.drop("loadtime")
 
 
+def _stream_compacted(spark: SparkSession, root: str) -> DataFrame:
+    """The history of all topics, after its days were compacted; old files still lie there."""
+    history = f"{root}/history"
+    for table in TOPIC_TABLES.values():
+        store = Store(spark, history)
+        for day in store.folders(f"{history}/history={table}"):
+            if day.startswith("load_date="):
+                fg.compact_history(spark, history, table, day.removeprefix("load_date="))
+    return _stream_history(spark, root)
+
+
+def _stream_counts(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/counts").drop("query")
+
+
 def _stream_snapshot(topic: str, schema) -> Query:
     return lambda spark, root: read_csv(spark, f"{root}/snapshots/{SNAPSHOTS[topic]}", schema)
 
@@ -218,12 +287,17 @@ FILE_QUERIES: dict[str, Query] = {
     "csv_landing_ratio": csv_landing_ratio,
     "csv_landing_mixed": csv_landing_mixed,
     "csv_single_file": csv_single_file,
+    "csv_landing_new_files": csv_landing_new_files,
+    "csv_versions": csv_versions,
     "table_congestion": table_congestion,
+    "table_congestion_retried": table_congestion_retried,
     "run_counts": run_counts,
 }
 
 STREAM_QUERIES: dict[str, Query] = {
     "stream_history": _after_stream(_stream_history),
+    "stream_history_compacted": _after_stream(_stream_compacted),
+    "stream_counts": _after_stream(_stream_counts),
     "stream_snapshot_trips": _after_stream(_stream_snapshot(TRIP_TOPIC, schemas.TRIPS)),
     "stream_snapshot_customers": _after_stream(_stream_snapshot(CUSTOMER_TOPIC, schemas.DEMAND)),
     "stream_snapshot_drivers": _after_stream(_stream_snapshot(DRIVER_TOPIC, schemas.SUPPLY)),

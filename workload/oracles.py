@@ -273,6 +273,25 @@ def _run_counts() -> str:
     )
 
 
+def _new_files() -> str:
+    """The product of the events with odd numbers, and the demand that each run took."""
+    odd = "where event_id % 2 = 1"
+    taken = [f"select count(*) from ({_DEMAND}) where event_id % 2 = {i}" for i in (0, 1)]
+    demand, supply = f"select * from ({_DEMAND}) {odd}", f"select * from ({_SUPPLY}) {odd}"
+    return f"""
+    select *, ({taken[0]}) as first_run, ({taken[1]}) as second_run, 0::bigint as third_run
+    from ({_ratio(demand, supply, keyed=False)})"""
+
+
+# Batches are the waves; a topic without rows in one has no count.
+_STREAM_COUNTS = f"""
+    select batch, topic, count(*) as n from (
+      select l_orderkey % 3 as batch, 'congestionEstimator' as topic from lineitem
+      union all select event_id % 3, 'customerData' from ({_DEMAND})
+      union all select least(event_id % 3, 1), 'driverData' from ({_SUPPLY})
+      union all select event_id % 3, 'appErrors' from events where event_type = 'error')
+    group by batch, topic"""
+
 ORACLES: dict[str, str] = {
     "traffic_congestion": _congestion(_TRIPS),
     "cell_avg_speed": _cell_avg(_TRIPS),
@@ -300,8 +319,15 @@ ORACLES: dict[str, str] = {
     "table_congestion": f"""
     with product as materialized ({_congestion(_TRIPS)})
     select * from product union all select * from product""",
+    "table_congestion_retried": f"""
+    with product as materialized ({_congestion(_TRIPS)})
+    select *, unnest(['first', 'second']) as run_key from product""",
+    "csv_landing_new_files": _new_files(),
+    "csv_versions": _ratio(_DEMAND, _SUPPLY, keyed=False),
     "run_counts": _run_counts(),
     "stream_history": _history(),
+    "stream_history_compacted": _history(),
+    "stream_counts": _STREAM_COUNTS,
     "stream_snapshot_trips": _SNAPSHOT_TRIPS,
     "stream_snapshot_customers": _SNAPSHOT_DEMAND,
     "stream_snapshot_drivers": _SNAPSHOT_SUPPLY,
