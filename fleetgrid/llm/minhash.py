@@ -18,11 +18,11 @@ still not connected are compared part by part.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import functools
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -42,6 +42,7 @@ class Signatures:
     matches: int = 18
 
 
+@functools.cache
 def _constants(name: str, n: int) -> np.ndarray:
     return np.array([[xxhash.xxh3_64_intdigest(f"{name}{i}") | 1] for i in range(n)], np.uint64)
 
@@ -49,11 +50,12 @@ def _constants(name: str, n: int) -> np.ndarray:
 def minima(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     """The smallest value of each of the hash functions over a set of hashed shingles."""
     flips, factors = _constants("flip", coordinates), _constants("factor", coordinates)
-    least = np.full(coordinates, np.iinfo(np.uint64).max)
-    for i in range(0, len(shingles), 4096):
-        values = (shingles[None, i : i + 4096] ^ flips) * factors
-        np.minimum(least, values.min(axis=1), out=least)
-    return least
+    least = np.full(coordinates, np.iinfo(np.int64).max)
+    for i in range(0, len(shingles), 1024):
+        values = shingles[None, i : i + 1024] ^ flips
+        values *= factors
+        np.minimum(least, values.view(np.int64).min(axis=1), out=least)
+    return least.view(np.uint64)
 
 
 def _tokens(least: np.ndarray) -> np.ndarray:
@@ -117,7 +119,9 @@ def _posted(sets: DataFrame, matches: int) -> DataFrame:
     return lists.select("set_id", F.slice("lists", 1, F.size("lists") - matches + 1).alias("prefix"))
 
 
-def _spanning(marks: np.ndarray, n: np.ndarray, matches: int, percent: int) -> Iterator[tuple]:
+def _spanning(
+    marks: np.ndarray, n: np.ndarray, matches: int, percent: int
+) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Pairs of rows above the threshold, enough to connect all of them, and each row's
     component. Rows are sorted by `n`."""
     label = np.arange(len(n))
@@ -184,83 +188,123 @@ def _retained(posted: DataFrame, matches: int, percent: int, chunk: int) -> Data
     return rows.mapInArrow(edges, "u long, v long").distinct()
 
 
-def confirmed(frame: pd.DataFrame, size: int, rule: Signatures, percent: int) -> pd.DataFrame:
+@dataclass
+class Group:
+    """Sets that are compared in one go, as rows in order of `side`, then `n`."""
+
+    ids: np.ndarray
+    n: np.ndarray
+    side: np.ndarray
+    label: np.ndarray
+    marks: np.ndarray
+    sets: list[np.ndarray]
+
+    @staticmethod
+    def of(rows: list[tuple], size: int) -> Group:
+        own = sorted({x[0]: x for x in rows}.values(), key=lambda x: (x[5], x[1], x[0]))
+        ids, n, marks, texts, labels, sides = zip(*own, strict=True)
+        label = np.unique(np.array(labels), return_inverse=True)[1]
+        sets = [shingle_set(x, size) for x in texts]
+        marks = np.frombuffer(b"".join(marks), np.uint16).reshape(len(own), -1)
+        return Group(np.array(ids), np.array(n), np.array(sides), label, marks, sets)
+
+
+Compare = Callable[[Group], Iterable[tuple[int, int]]]
+
+
+def confirmed(group: Group, rule: Signatures, percent: int) -> Iterator[tuple[int, int]]:
     """Links between rows of different `label` (and of different `side`, where that is not
-    negative), enough to connect all that are linked: `u, v`."""
-    frame = frame.sort_values(["n", "set_id"])
-    ids, n = frame["set_id"].to_numpy(), frame["n"].to_numpy()
-    side = frame["side"].to_numpy()
-    label = np.unique(frame["label"].to_numpy(), return_inverse=True)[1]
-    marks = np.frombuffer(b"".join(frame["marks"]), np.uint16).reshape(len(frame), -1)
-    sets = [shingle_set(x, size) for x in frame["text"]]
-    vocabulary, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    codes = np.split(codes, np.cumsum([len(x) for x in sets])[:-1])
+    negative), enough to connect all that are linked."""
+    n, side, label, marks = group.n, group.side, group.label, group.marks
+    vocabulary, codes = np.unique(np.concatenate(group.sets), return_inverse=True)
+    ends = np.cumsum([len(x) for x in group.sets])
+    starts = ends - [len(x) for x in group.sets]
     has = np.zeros(len(vocabulary), bool)
-    links = []
-    for i in range(1, len(ids)):
-        low = int(np.searchsorted(100 * n[:i], percent * n[i]))
-        hits = (label[low:i] != label[i]) & ((side[low:i] < 0) | (side[low:i] != side[i]))
-        hits = low + np.flatnonzero(hits)
+    for i in range(1, len(n)):
+        low, high = np.minimum(n[:i], n[i]), np.maximum(n[:i], n[i])
+        hits = (label[:i] != label[i]) & (100 * low >= percent * high)
+        hits = np.flatnonzero(hits & ((side[:i] < 0) | (side[:i] != side[i])))
         hits = hits[(marks[hits] == marks[i]).sum(axis=1) >= rule.matches]
         if not len(hits):
             continue
-        has[codes[i]] = True
-        both = np.array([np.count_nonzero(has[codes[j]]) for j in hits])
-        has[codes[i]] = False
-        for j in hits[100 * both >= percent * (n[hits] + n[i] - both)]:
-            if label[j] != label[i]:
-                links.append((ids[j], ids[i]))
+        has[codes[starts[i] : ends[i]]] = True
+        for j in hits:
+            if label[j] == label[i]:
+                continue
+            both = np.count_nonzero(has[codes[starts[j] : ends[j]]])
+            if 100 * both >= percent * (n[j] + n[i] - both):
+                yield int(j), i
                 label[label == label[i]] = label[j]
-    return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+        has[codes[starts[i] : ends[i]]] = False
+
 
+class Families:
+    """Families of sets that may be linked, and the links that connect their components.
 
-class _Families:
-    """Confirms the retained pairs of families of sets, as links."""
+    `compare` gets a group and gives links between its rows of different `label`, and of
+    different `side` where that is not negative: enough to connect all that are linked.
+    """
 
-    def __init__(self, members: DataFrame, scratch: Scratch, size: int, rule: Signatures, percent: int):
-        self.members, self.scratch = members, scratch
-        self.size, self.rule, self.percent = size, rule, percent
+    def __init__(self, members: DataFrame, scratch: Scratch, size: int, compare: Compare):
+        self.members, self.scratch, self.size, self.compare = members, scratch, size, compare
         self.tables: list[DataFrame] = []
 
     def _compare(self, rows: DataFrame, *keys: str) -> None:
-        size, rule, percent = self.size, self.rule, self.percent
-        columns = ["set_id", "n", "marks", "text", "label", "side"]
-
-        def compare(frame: pd.DataFrame) -> pd.DataFrame:
-            return confirmed(frame, size, rule, percent)
+        size, compare, width = self.size, self.compare, len(keys)
+
+        def links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            key, own = None, []
+            for batch in batches:
+                for row in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                    if row[:width] != key:
+                        yield from found(own)
+                        key, own = row[:width], []
+                    own.append(row[width:])
+            yield from found(own)
+
+        def found(own: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if len(own) < 2:
+                return
+            group = Group.of(own, size)
+            pairs = np.array(list(compare(group)), np.int64).reshape(-1, 2)
+            if len(pairs):
+                columns = [pa.array(group.ids[pairs[:, i]]) for i in range(2)]
+                yield pa.RecordBatch.from_arrays(columns, ["u", "v"])
 
-        links = rows.select(*keys, *columns).groupBy(*keys).applyInPandas(compare, "u long, v long")
-        self.tables.append(self.scratch.table(f"links-{len(self.tables)}", links))
+        columns = ["set_id", "n", "marks", "text", "label", "side"]
+        sorted_ = rows.select(*keys, *columns).repartition(*keys).sortWithinPartitions(*keys)
+        pairs = sorted_.mapInArrow(links, "u long, v long")
+        self.tables.append(self.scratch.table(f"links-{len(self.tables)}", pairs))
 
-    def links(self) -> DataFrame:
-        union = self.tables[0]
-        for table in self.tables[1:]:
-            union = union.union(table)
-        return union
+    def _all(self) -> DataFrame:
+        return functools.reduce(DataFrame.union, self.tables)
 
-    def _labelled(self) -> DataFrame:
-        """Members of the families of several parts, with their component so far."""
-        roots = components(self.links(), self.scratch, f"parts-{len(self.tables)}")
+    def _open(self) -> DataFrame:
+        """Members of the families of several parts that are not connected yet, each with
+        its component so far as `label`, and how many there are in its family as `left`."""
+        roots = components(self._all(), self.scratch, f"parts-{len(self.tables)}")
         many = self.members.where("parts > 1").join(
             roots.withColumnRenamed("node", "set_id"), "set_id", "left"
         )
         many = many.withColumn("label", F.coalesce("root", "set_id")).drop("root")
-        left = many.groupBy("family").agg(F.count_distinct("label").alias("left"))
+        left = many.where("label = set_id").groupBy("family").agg(F.count(F.lit(1)).alias("left"))
         many = many.join(left.where("left > 1"), "family")
-        return self.scratch.table(f"labelled-{len(self.tables)}", many)
+        return self.scratch.table(f"open-{len(self.tables)}", many)
 
-    def compare(self, part_sets: int) -> DataFrame:
+    def links(self, part_sets: int) -> DataFrame:
+        """`u, v`: parts are compared in themselves; then the smallest members of the
+        components, as long as that halves their number; then what is left, part by part."""
         alone = {"label": F.col("set_id"), "side": F.lit(-1)}
         self._compare(self.members.withColumns(alone), "family", "part")
         if self.members.where("parts > 1").isEmpty():
-            return self.links()
+            return self._all()
         before = None
         while True:
-            open_ = self._labelled().withColumn("side", F.lit(-1))
-            heads = open_.where("label = set_id")
+            rows = self._open()
+            heads = rows.where("label = set_id").withColumn("side", F.lit(-1))
             now = heads.count()
             if not now:
-                return self.links()
+                return self._all()
             if before is not None and 2 * now > before:
                 break
             before = now
@@ -268,30 +312,66 @@ class _Families:
             group = F.pmod(F.xxhash64("set_id", turn), F.ceil(F.col("left") / part_sets))
             self._compare(heads.withColumn("group", group), "family", "group")
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-        pairs = open_.drop("side").select("*", other).where("other <> part").select(
+        pairs = rows.select("*", other).where("other <> part").select(
             "*",
             F.least("part", "other").alias("a"),
             F.greatest("part", "other").alias("b"),
             F.col("part").alias("side"),
         )
         self._compare(pairs, "family", "a", "b")
-        return self.links()
+        return self._all()
 
 
-def _members(docs: DataFrame, sets: DataFrame, families: DataFrame, part_sets: int) -> DataFrame:
+def _members(
+    docs: DataFrame, sets: DataFrame, families: DataFrame, part_sets: int, part_shingles: int
+) -> DataFrame:
     """Sets of families of several, with a text and the number of their part."""
     placed = families.join(sets.select("set_id", "n", "marks", "key_id", "key_text"), "set_id")
     totals = placed.groupBy("family").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total"))
-    by_count, by_size = F.col("k") / part_sets, F.col("total") / (2000 * part_sets)
+    by_count, by_size = F.col("k") / part_sets, F.col("total") / part_shingles
     parts = F.ceil(F.greatest(by_count, by_size)).cast("int").alias("parts")
     placed = placed.join(totals.where("k > 1").select("family", parts), "family")
     part: Column = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")
     wanted = placed.withColumn("part", part)
-    texts = docs.select(*row_key(), "text").distinct()
+    texts = docs.select(*row_key(), "text")
     joined = texts.join(wanted.hint("merge"), same_key(texts, wanted))
     return joined.select("family", "parts", "part", "set_id", "n", "marks", "text")
 
 
+def similar_components(
+    docs: DataFrame,
+    scratch: Scratch,
+    size: int,
+    percent: int,
+    rule: Signatures,
+    compare: Compare,
+    chunk: int,
+    part_sets: int,
+    part_shingles: int,
+) -> DataFrame:
+    """`key_id, key_text, n, component` for every row of `doc_id, text`: its key, the size of
+    its set and the smallest id that links reach, as `compare` confirms them."""
+    ship_package(docs.sparkSession)
+    profile = scratch.table("profile", _profile(docs, size, rule.coordinates))
+    sets = scratch.table("sets", _sets(profile))
+    posted = _posted(sets, rule.matches).join(sets.select("set_id", "n", "marks"), "set_id")
+    edges = _retained(scratch.table("posted", posted), rule.matches, percent, chunk)
+    chained = components(edges, scratch, "families")
+    chained = chained.union(chained.select("root", "root").distinct()).toDF("set_id", "family")
+    members = scratch.table("members", _members(docs, sets, chained, part_sets, part_shingles))
+    scratch.drop("posted")
+    links = Families(members, scratch, size, compare).links(part_sets)
+    linked = components(links, scratch, "components").withColumnRenamed("node", "set_id")
+    scratch.drop("members")
+    roots = sets.select("set_id", "identity", "least").join(linked, "set_id", "left")
+    roots = roots.select("identity", "least", F.coalesce("root", "set_id").alias("root"))
+    smallest = roots.groupBy("root").agg(F.min("least").alias("component"))
+    of_set = scratch.table("of-set", roots.join(smallest, "root").select("identity", "component"))
+    joined = profile.select("key_id", "key_text", "n", "identity").join(of_set, "identity", "left")
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key_id"))
+    return joined.select("key_id", "key_text", "n", component.alias("component"))
+
+
 def minhash_components(
     docs: DataFrame,
     scratch: Scratch,
@@ -300,6 +380,7 @@ def minhash_components(
     rule: Signatures = Signatures(),
     chunk: int = 512,
     part_sets: int = 512,
+    part_shingles: int = 1_000_000,
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` for every row of `doc_id, text`.
 
@@ -309,32 +390,19 @@ def minhash_components(
     `rule` states. Documents without words (or a null text) have an empty set and no links.
     Equal sets link. A null id is a document's id, but no component's unless it is
     alone. Rows that repeat id and text are one document, and each has its row. Other
-    columns are ignored. `chunk` and `part_sets` bound what a task compares, never what is
-    compared.
+    columns are ignored. `chunk`, `part_sets` and `part_shingles` bound what a task compares,
+    never what is compared.
     """
-    ship_package(docs.sparkSession)
-    profile = scratch.table("profile", _profile(docs, size, rule.coordinates))
-    sets = scratch.table("sets", _sets(profile))
-    posted = _posted(sets, rule.matches).join(sets.select("set_id", "n", "marks"), "set_id")
-    edges = _retained(scratch.table("posted", posted), rule.matches, percent, chunk)
-    chained = components(edges, scratch, "families")
-    chained = chained.union(chained.select("root", "root").distinct()).toDF("set_id", "family")
-    members = _members(docs, sets, chained, part_sets)
-    members = scratch.table("members", members)
-    links = _Families(members, scratch, size, rule, percent).compare(part_sets)
-    linked = components(links, scratch, "components").withColumnRenamed("node", "set_id")
-    roots = sets.select("set_id", "identity", "least").join(linked, "set_id", "left")
-    roots = roots.select("identity", "least", F.coalesce("root", "set_id").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component"))
-    of_set = roots.join(smallest, "root").select("identity", "component")
-    for name in ("posted", "members"):
-        scratch.drop(name)
-    rows = profile.select("key_id", "n", "identity")
-    joined = rows.join(scratch.table("of-set", of_set), "identity", "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key_id"))
-    return joined.select(
+
+    def compare(group: Group) -> Iterator[tuple[int, int]]:
+        return confirmed(group, rule, percent)
+
+    found = similar_components(
+        docs, scratch, size, percent, rule, compare, chunk, part_sets, part_shingles
+    )
+    return found.select(
         F.col("key_id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("key_id").eqNullSafe(component).alias("kept"),
+        F.col("component").alias("component_id"),
+        F.col("key_id").eqNullSafe(F.col("component")).alias("kept"),
     )

@@ -75,7 +75,15 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     sums = np.full(count, n if n < size else 0, np.uint64)
     for i in range(n):
         sums += hashes[i : count + i] * _PLACES[i]
-    return np.unique(_mixed(sums))
+    return _distinct(_mixed(sums))
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted and each once. Sorting is faster here than numpy's table of hashes."""
+    numbers = np.sort(numbers)
+    new = np.ones(len(numbers), bool)
+    np.not_equal(numbers[1:], numbers[:-1], out=new[1:])
+    return numbers[new]
 
 
 def signature(shingles: np.ndarray) -> int:
