@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgrid.llm.common import Scratch, row_key, same_key
@@ -62,35 +62,75 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running_sums(numbers: Column) -> Column:
+    """Sums of an array's numbers up to each of them.
+
+    Aggregates can only grow an array by copying it. So the numbers are cut into about as
+    many pieces as each has numbers: n of them cost n * sqrt(n) copies, not n * n.
+    """
+
+    def up_to(values: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("sum"), F.array().cast("array<int>").alias("sums"))
+
+        def add(done: Column, x: Column) -> Column:
+            total = done["sum"] + x
+            sums = F.concat(done["sums"], F.array(total))
+            return F.struct(total.alias("sum"), sums.alias("sums"))
+
+        return F.aggregate(values, zero, add, lambda done: done["sums"])
+
+    def cut(values: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1))
+        starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), width)
+        return F.transform(starts, lambda i: F.slice(values, i, width))
+
+    def joined(pieces: Column) -> Column:
+        whole = F.transform(pieces, lambda x: F.aggregate(x, F.lit(0), lambda a, b: a + b))
+        return _let(
+            up_to(whole, F.lit(0)),
+            lambda ends: F.flatten(
+                F.transform(pieces, lambda x, i: up_to(x, F.coalesce(F.get(ends, i - 1), F.lit(0))))
+            ),
+        )
+
+    return _let(numbers, lambda values: _let(cut(values), joined))
+
+
 def _matches(text: Column, kind: str, needle: str, pattern: str) -> Column:
     """Leftmost matches with their places in code points, and what stands around them."""
     empty = F.array().cast(_SPAN)
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"), F.lit("").alias("last"))
-    gaps = F.split(text, pattern, -1)
-    texts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    following = F.slice(gaps, 2, 1 << 30)
-    both = F.arrays_zip(gaps.alias("gap"), texts.alias("m"), following.alias("next"))
-
-    def more(done: Column, pair: Column) -> Column:
-        start = done["at"] + F.char_length(pair["gap"])
-        end = start + F.char_length(pair["m"])
-        before = F.right(F.concat(done["last"], pair["gap"]), F.lit(_CONTEXT))
-        after = F.left(pair["next"], F.lit(1))
-        span = F.struct(
-            start.alias("s"),
-            F.lit(KINDS.index(kind)).alias("k"),
-            end.alias("e"),
-            pair["m"].alias("m"),
-            before.alias("before"),
-            after.alias("after"),
+
+    def spans(found: Column) -> Column:
+        gaps, texts = found["gaps"], found["texts"]
+        steps = F.transform(texts, lambda m, i: F.char_length(m) + F.char_length(F.get(gaps, i)))
+
+        def span(ends: Column, m: Column, i: Column) -> Column:
+            last = F.coalesce(F.get(texts, i - 1), F.lit(""))
+            end = F.get(ends, i)
+            return F.struct(
+                (end - F.char_length(m)).alias("s"),
+                F.lit(KINDS.index(kind)).alias("k"),
+                end.alias("e"),
+                m.alias("m"),
+                F.right(F.concat(last, F.get(gaps, i)), F.lit(_CONTEXT)).alias("before"),
+                F.left(F.get(gaps, i + 1), F.lit(1)).alias("after"),
+            )
+
+        return _let(
+            _running_sums(steps), lambda ends: F.transform(texts, lambda m, i: span(ends, m, i))
         )
-        out = F.concat(done["out"], F.array(span))
-        step = F.struct(end.alias("at"), out.alias("out"), pair["m"].alias("last"))
-        return F.when(pair["m"].isNull(), done).otherwise(step)
 
-    found = F.aggregate(both, zero, more, lambda done: done["out"])
+    both = F.struct(
+        F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("texts"),
+    )
     present = text.contains(needle) if needle else text.rlike(pattern)
-    return F.when(present, found).otherwise(empty)
+    return F.when(present, _let(both, spans)).otherwise(empty)
 
 
 def _valid(kind: str) -> Callable[[Column], Column]:
@@ -113,19 +153,50 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*kinds))
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
-    """A row for each candidate: the document's key, the span's fields and `is_base`."""
+def _possible(kind: str) -> Callable[[Column], Column]:
+    """A card has 12 to 19 digits and a phone 9 to 15, however they are written."""
+
+    def possible(span: Column) -> Column:
+        n_digits = F.char_length(_digits(span["m"]))
+        if kind == "card":
+            return n_digits.between(12, 19)
+        if kind == "phone":
+            return n_digits.between(9, 15)
+        return F.lit(True)
+
+    return possible
+
+
+def _scan(docs: DataFrame) -> DataFrame:
+    """`doc_id`, the row's key, its `base` spans and its `loose` candidates with context."""
     text = F.coalesce("text", F.lit(""))
-    kinds = [_matches(F.col("_text"), kind, *_LOOSE[kind]) for kind in _LOOSE]
-    df = docs.select(*row_key(), text.alias("_text"))
-    df = df.select("key_id", "key_text", base_spans(F.col("_text")).alias("_base"),
-                   F.concat(*kinds).alias("_loose"))
-    df = df.select("key_id", "key_text", "_base", F.explode("_loose").alias("c"))
+    loose = [F.filter(_matches(text, kind, *_LOOSE[kind]), _possible(kind)) for kind in _LOOSE]
+    base = F.transform(base_spans(text), _place).alias("base")
+    return docs.select("doc_id", *row_key(), base, F.concat(*loose).alias("loose"))
 
-    def overlaps(base: Column) -> Column:
-        return (base["s"] < F.col("c")["e"]) & (F.col("c")["s"] < base["e"])
 
-    return df.select("key_id", "key_text", "c.*", F.exists("_base", overlaps).alias("is_base"))
+def _candidates(scanned: DataFrame) -> DataFrame:
+    """A row for each candidate: the document's key, the span's fields, whether it overlaps
+    a span of the base, and the weak label.
+
+    In each document, spans of the base (by start) and candidates (by end) are sorted
+    together. A candidate overlaps if one that starts before its end ends after its start.
+    """
+    some = scanned.where(F.size("loose") > 0)
+    key = ["key_id", "key_text"]
+    loose = some.select(*key, F.explode("loose").alias("c")).select(*key, "c.*").distinct()
+    loose = loose.withColumns({"at": F.col("e"), "first": F.lit(0), "reach": F.lit(None).cast("int")})
+    base = some.select(*key, F.explode("base").alias("c"))
+    base = base.select(*key, F.col("c.s").alias("at"), F.lit(1).alias("first"), F.col("c.e").alias("reach"))
+    both = loose.unionByName(base, allowMissingColumns=True)
+    so_far = Window.partitionBy(*key).orderBy("at", "first").rowsBetween(Window.unboundedPreceding, 0)
+    reached = both.withColumn("reach", F.max("reach").over(so_far)).where("k is not null")
+    is_base = F.coalesce(F.col("reach") > F.col("s"), F.lit(False))
+    secret = (F.col("k") == KINDS.index("secret")) & F.lower("before").rlike(_CUES["secret"])
+    return reached.select(
+        *key, "s", "k", "e", "m", "before", "after", is_base.alias("is_base"),
+        (is_base | secret).cast("double").alias("label"),
+    )
 
 
 def _count(text: str, pattern: str) -> Column:
@@ -162,67 +233,129 @@ def _features(candidates: DataFrame) -> tuple[DataFrame, list[str]]:
     return candidates.withColumns(cast), list(cast)
 
 
-def _scored(candidates: DataFrame, model: GBTClassificationModel) -> DataFrame:
+# What the labels rest on.
+_MARKS = ["f_cue", "f_luhn", "f_is_ip", "f_ends_in_name"]
+
+
+def _vectors(candidates: DataFrame, masked: Column | None = None) -> DataFrame:
     featured, names = _features(candidates)
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(featured)
+    if masked is not None:
+        hidden = {c: F.when(masked, F.lit(0.0)).otherwise(F.col(c)) for c in _MARKS}
+        featured = featured.withColumns(hidden)
+    return VectorAssembler(inputCols=names, outputCol="features").transform(featured)
+
+
+def _scored(candidates: DataFrame, model: GBTClassificationModel | None) -> DataFrame:
+    if model is None:
+        return candidates.withColumn("score", F.lit(1.0))
     probability = vector_to_array(F.col("probability"))[1]
-    return model.transform(vectors).withColumn("score", probability)
+    return model.transform(_vectors(candidates)).withColumn("score", probability)
 
 
 class CandidateModel:
-    """Boosted trees over candidates, and a threshold for each kind."""
+    """Boosted trees over candidates (None: all are alike), and a threshold for each kind."""
 
-    def __init__(self, trees: GBTClassificationModel, thresholds: dict[str, float]):
+    def __init__(self, trees: GBTClassificationModel | None, thresholds: dict[str, float]):
         self.trees, self.thresholds = trees, thresholds
 
 
+def _chance(name: str) -> Column:
+    """A number from 0 to 1 that each candidate keeps."""
+    drawn = F.xxhash64(F.lit(name), "key_id", "key_text", "s", "k", "e")
+    return F.pmod(drawn, F.lit(1_000_000)) / 1_000_000
+
+
 def fit_candidates(
-    docs: DataFrame, scratch: Scratch, train_docs: int = 10_000, precision: float = 0.95,
-    least: int = 20,
-) -> CandidateModel | None:
-    """Trees fitted on the candidates of about `train_docs` documents.
-
-    A candidate that overlaps a span of the base, or a long key after a word such as
-    "token", is labelled as private, the others as not. Two thirds of the documents fit the
-    trees. On the rest, a kind's threshold is the lowest score from which on at least
-    `precision` of the labels are positive, among no fewer than `least` candidates, and at
-    least a half; a kind without such a score gets no spans. None without both labels in the sample.
+    docs: DataFrame, scratch: Scratch, train_rows: int = 3000, precision: float = 0.95
+) -> CandidateModel | None:
+    """Trees and thresholds from the candidates of `docs`; see `find_private_data`.
+
+    None without a candidate that is labelled private.
     """
-    rows = docs.count()
-    if not rows:
+    scanned = scratch.table("fit-scan", _scan(docs))
+    candidates = scratch.table("fit-candidates", _candidates(scanned))
+    model = _fit(candidates, scratch, train_rows, precision)
+    for name in ("fit-scan", "fit-candidates"):
+        scratch.drop(name)
+    return model
+
+
+def _fit(
+    candidates: DataFrame, scratch: Scratch, train_rows: int, precision: float
+) -> CandidateModel | None:
+    """Weak labels: a candidate that overlaps a span of the base, or a long key after a word
+    such as "token", is private, others are not.
+
+    The trees are fitted on up to about `train_rows` candidates of each kind and label, of
+    two documents in three; rare private ones weigh more, others do not: among them are
+    private ones that the labels miss. In half of these rows all that the labels rest on is
+    hidden, so that other features of format and context have to carry.
+
+    The thresholds rest on all other candidates of all documents: for each kind the lowest
+    score, 0.5 at least, from which on `precision` of the labels are positive. A kind of
+    which none of these is labelled private takes the threshold of all kinds together, or
+    what lies above all of its own if that is higher. No count decides: a kind is treated
+    alike in a small table and in a large one.
+    """
+    counts = {(r["k"], r["label"]): r["n"] for r in candidates.groupBy("k", "label").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    if 1.0 not in {label for _, label in counts}:
         return None
-    sample = _candidates(docs.sample(min(1.0, train_docs / rows), seed=11))
-    secret = (F.col("k") == KINDS.index("secret")) & F.lower("before").rlike(_CUES["secret"])
-    label = (F.col("is_base") | secret).cast("double")
+    if 0.0 not in {label for _, label in counts}:
+        return CandidateModel(None, dict.fromkeys(KINDS, 0.5))
+    share, weight = F.lit(0.0), F.lit(1.0)
+    for (k, label), n in counts.items():
+        here = (F.col("k") == k) & (F.col("label") == label)
+        share = F.when(here, min(1.0, 1.5 * train_rows / n)).otherwise(share)
+        if label:
+            weight = F.when(here, min(100.0, train_rows / min(n, train_rows))).otherwise(weight)
     fold = F.pmod(F.xxhash64("key_id", "key_text"), F.lit(3))
-    sample = scratch.table("sample", sample.withColumns({"label": label, "fold": fold}))
-    fit = sample.where("fold > 0")
-    if fit.select("label").distinct().count() < 2:
-        return None
-    featured, names = _features(fit)
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(featured)
-    trees = GBTClassifier(maxIter=12, maxDepth=4, seed=5).fit(vectors.select("features", "label"))
+    fit = (fold > 0) & (_chance("fit") < share)
+    marked = candidates.withColumns({"fit": fit, "weight": weight})
+    training = scratch.table("training", marked.where("fit"))
+    if training.select("label").distinct().count() < 2:  # a few candidates: all of them
+        training = marked
+    rows = _vectors(training, _chance("mask") < 0.5).select("features", "label", "weight")
+    trees = GBTClassifier(maxIter=12, maxDepth=4, seed=5, weightCol="weight").fit(rows)
     step = F.floor(F.col("score") * 100).cast("int").alias("step")  # at most 101 for each kind
-    held = _scored(sample.where("fold = 0"), trees).groupBy("k", step).agg(
+    held = _scored(marked.where("not fit"), trees).groupBy("k", step).agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")
     )
-    thresholds: dict[str, float] = {}
-    by_kind: dict[int, list] = {}
-    for row in held.collect():
-        by_kind.setdefault(row["k"], []).append(row)
-    for k, steps in by_kind.items():
-        n = positive = 0
-        for row in sorted(steps, key=lambda row: -row["step"]):
-            n, positive = n + row["n"], positive + row["positive"]
-            if n >= least and positive >= precision * n:
-                thresholds[KINDS[k]] = max(row["step"] / 100, 0.5)
-    scratch.drop("sample")
-    return CandidateModel(trees, thresholds)
+    scratch.drop("training")
+    return CandidateModel(trees, _thresholds(held.collect(), precision))
 
 
-def _added(docs: DataFrame, model: CandidateModel) -> DataFrame:
+def _thresholds(steps: list, precision: float) -> dict[str, float]:
+    def lowest(rows: list) -> float | None:
+        found, n, positive = None, 0, 0
+        for row in sorted(rows, key=lambda row: -row["step"]):
+            n, positive = n + row["n"], positive + row["positive"]
+            if row["step"] >= 50 and positive >= precision * n:
+                found = row["step"] / 100
+        return found
+
+    pooled: dict[int, dict] = {}
+    for row in steps:
+        total = pooled.setdefault(row["step"], {"step": row["step"], "n": 0, "positive": 0})
+        total["n"] += row["n"]
+        total["positive"] += row["positive"]
+    shared = lowest(list(pooled.values()))
+    thresholds = {}
+    for k, kind in enumerate(KINDS):
+        own = [row for row in steps if row["k"] == k]
+        if any(row["positive"] for row in own):
+            found = lowest(own)
+        else:
+            above = max((row["step"] + 1 for row in own), default=0) / 100
+            found = None if shared is None else max(shared, above)
+        if found is not None:
+            thresholds[kind] = found
+    return thresholds
+
+
+def _added(candidates: DataFrame, model: CandidateModel) -> DataFrame:
     """`key_id, key_text, added`: the spans that the model adds to each document."""
-    fresh = _candidates(docs).where(~F.col("is_base"))
+    fresh = candidates.where(~F.col("is_base"))
     threshold = F.lit(2.0)
     for kind, least in model.thresholds.items():
         threshold = F.when(F.col("k") == KINDS.index(kind), least).otherwise(threshold)
@@ -247,23 +380,28 @@ def _text_of(spans: Column) -> Column:
 
 
 def find_private_data(
-    docs: DataFrame, scratch: Scratch, model: CandidateModel | None = None
+    docs: DataFrame,
+    scratch: Scratch,
+    model: CandidateModel | None = None,
+    train_rows: int = 3000,
+    precision: float = 0.95,
 ) -> DataFrame:
     """`doc_id, spans, base` of every row of `doc_id, text`, both arrays of `s, k, e`.
 
     `base` are the spans of the fixed patterns, `spans` those and what the model adds,
     by start, then kind (`k`, a place in KINDS), then end; places count code points, the end is
-    exclusive. Without `model`, one is fitted on a sample of `docs`. A null text is
-    empty and has no spans. Rows with the same id and text are one document, and each has its
-    row. Other columns are ignored.
+    exclusive. Without `model`, one is fitted on `docs` (see `_fit`); up to about `train_rows`
+    candidates of each kind and label are used for the trees, all others for the thresholds.
+    A null text is empty and has no spans. Rows with the same id and text are one document,
+    and each has its row. Other columns are ignored.
     """
-    model = model or fit_candidates(docs, scratch)
-    text = F.coalesce("text", F.lit(""))
-    plain = F.transform(base_spans(text), _place)
-    found = docs.select("doc_id", *row_key(), plain.alias("base"))
+    scanned = scratch.table("scan", _scan(docs))
+    candidates = scratch.table("candidates", _candidates(scanned))
+    model = model or _fit(candidates, scratch, train_rows, precision)
+    found = scanned.select("doc_id", "key_id", "key_text", "base")
     if model is None or not model.thresholds:
         return found.select("doc_id", F.col("base").alias("spans"), "base")
-    added = _added(docs, model)
+    added = _added(candidates, model)
     joined = found.join(added, same_key(found, added), "left")
     none = F.array().cast("array<struct<s:int,k:int,e:int>>")
     spans = F.sort_array(F.concat("base", F.coalesce("added", none)))

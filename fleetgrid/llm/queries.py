@@ -39,7 +39,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = describe_spans(find_private_data(docs, Scratch(spark, "op2")))
-    return spans.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+    base = F.sha2("base", 256).alias("base_sha256")
+    return spans.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, "spans")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
