@@ -18,15 +18,17 @@ def _text() -> Column:
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """`hash, chunk, key_id, key_text, position` of every line whose key is long enough."""
+    """`hash, more, chunk, key_id, key_text, position` of every line whose key is long enough.
+
+    Lines are told apart by the 128 bits of `hash` and `more`."""
     lines = F.split(lower_ascii(_text()), "\n")
     df = docs.select(*row_key(), F.posexplode(lines).alias("position", "line"))
     key = F.btrim("line", F.lit(TRIMMED))
     chunk = F.pmod(F.xxhash64("key_id", "key_text"), F.lit(_CHUNKS)).cast("int")
     # a key is never longer than its line
     df = df.where((F.char_length("line") >= min_chars) & (F.char_length(key) >= min_chars))
-    hashed = F.xxhash64(key).alias("hash")
-    return df.select(hashed, chunk.alias("chunk"), "key_id", "key_text", "position")
+    hashed = [F.xxhash64(key).alias("hash"), F.xxhash64(F.lit(1), key).alias("more")]
+    return df.select(*hashed, chunk.alias("chunk"), "key_id", "key_text", "position")
 
 
 def drop_bitmaps(
@@ -43,21 +45,23 @@ def drop_bitmaps(
     the counts of the chunks are then summed.
     """
     occurrences = scratch.table("lines", _occurrences(docs, min_chars))
-    ranged = occurrences.repartitionByRange("hash", "chunk").sortWithinPartitions(
-        "hash", "chunk", "key_id", "key_text", "position"
+    ranged = occurrences.repartitionByRange("hash", "more", "chunk").sortWithinPartitions(
+        "hash", "more", "chunk", "key_id", "key_text", "position"
     )
-    run = Window.partitionBy("hash", "chunk").orderBy("key_id", "key_text", "position")
+    run = Window.partitionBy("hash", "more", "chunk").orderBy("key_id", "key_text", "position")
     is_first = ~(
         F.lag("key_id").over(run).eqNullSafe(F.col("key_id"))
         & F.lag("key_text").over(run).eqNullSafe(F.col("key_text"))
     )
     firsts = ranged.withColumn("first", is_first).where("first")
-    chunks = firsts.groupBy("hash", "chunk").agg(
+    chunks = firsts.groupBy("hash", "more", "chunk").agg(
         F.count(F.lit(1)).alias("n"), F.max("key_id").alias("keeper")
     )
-    shared = chunks.groupBy("hash").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper"))
+    shared = chunks.groupBy("hash", "more").agg(
+        F.sum("n").alias("n"), F.max("keeper").alias("keeper")
+    )
     shared = scratch.table("shared", shared.where(F.col("n") >= min_docs).drop("n"))
-    dropped = occurrences.join(shared, "hash").where(
+    dropped = occurrences.join(shared, ["hash", "more"]).where(
         ~F.col("key_id").eqNullSafe(F.col("keeper"))
     )
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("position") % 64)
