@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleetgrid.llm.common import SPACES, ship_package
 from fleetgrid.llm.encoder import WordCounter, loaded, slices
 
-CACHE_SCHEMA = "version string, digest binary, n_tokens long"
+CACHE_SCHEMA = "digest binary, n_tokens long"
 
 
 def tokenizer_version(path: str) -> str:
@@ -31,13 +31,20 @@ def _digest(normal: Column) -> Column:
     return F.unhex(F.sha2(normal, 256))
 
 
-def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame | None:
-    """Stored counts of a tokenizer version; none if the cache does not exist yet."""
+def _of_version(cache: str, version: str) -> str:
+    """The part of the cache that holds a version's counts."""
+    return f"{cache.rstrip('/')}/version={version}"
+
+
+def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame | None:
+    """Stored counts of a tokenizer version; none if there are none yet. Those of other
+    versions are not looked at."""
+    path = _of_version(cache, version)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(at):
         return None
-    stored = spark.read.schema(CACHE_SCHEMA).parquet(path).where(F.col("version") == version)
+    stored = spark.read.schema(CACHE_SCHEMA).parquet(path)
     # Two runs that append at the same time may store the same digest twice.
     return stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
@@ -69,15 +76,15 @@ def append_misses(docs: DataFrame, cache: str, tokenizer: str) -> None:
         for batch in once(batches):
             digests, texts = (batch.column(i).to_pylist() for i in range(2))
             counts = [n for some in slices(texts) for n in counter.count(texts[some])]
-            versions = pa.array([version] * len(digests))
-            columns = [versions, pa.array(digests, pa.binary()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["version", "digest", "n_tokens"])
+            columns = [pa.array(digests, pa.binary()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "n_tokens"])
 
     misses = texts.mapInArrow(once, "digest binary, text string").repartition("digest")
     known = read_cache(docs.sparkSession, cache, version)
     if known is not None:  # partitioned alike: the texts are not moved again
         misses = misses.join(known, "digest", "left_anti")
-    misses.mapInArrow(counted, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    stored = misses.mapInArrow(counted, CACHE_SCHEMA).write.mode("append")
+    stored.parquet(_of_version(cache, version))
 
 
 def count_tokens(docs: DataFrame, cache: str, tokenizer: str) -> DataFrame:
