@@ -28,20 +28,44 @@ def _positions(df: DataFrame, n: int, *keep: str) -> DataFrame:
     return df.select("*", _shingle(F.col("words"), F.col("at"), n).alias("shingle"))
 
 
-def item_windows(benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
-    """`window, items, size, n`: each distinct window of the items' words, the items that
-    have it, its count of words, and the length of its shingles."""
+def item_windows(benchmark: DataFrame, window: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(`text, size, n`) of each distinct window of the items' words, joined by spaces, with
+    its count of words and the length of its shingles; and (`text, item_id`) of its items."""
     words = benchmark.select("item_id", _words(F.col("text")).alias("words"))
     size = F.size("words")
     starts = F.explode(F.sequence(F.lit(0), F.greatest(size - window, F.lit(0))))
     cut = words.where(size > 0).select("item_id", "words", starts.alias("start"))
-    cut = cut.select("item_id", F.slice("words", F.col("start") + 1, F.lit(window)).alias("window"))
-    size = F.size("window")
-    return (
-        cut.groupBy("window")
-        .agg(F.collect_set("item_id").alias("items"))
-        .select("window", "items", size.alias("size"), F.least(size, F.lit(shingle)).alias("n"))
+    own = F.slice("words", F.col("start") + 1, F.lit(window))
+    cut = cut.select("item_id", F.array_join(own, " ").alias("text"), F.size(own).alias("size"))
+    windows = cut.select("text", "size").distinct()
+    n = F.least("size", F.lit(shingle)).alias("n")
+    return windows.select("text", "size", n), cut.select("text", "item_id").distinct()
+
+
+# A filter has up to so many rows of 512 longs: 16 MB, and 134 million bits.
+_MOST_ROWS = 4096
+_ROW_BITS = 1 << 15
+
+
+def _filter_place(shingle: Column, rows: int) -> tuple[Column, Column, Column]:
+    """The row of a filter, the long in it and the bit in that of a shingle."""
+    inside = F.pmod(F.call_function("shiftright", shingle, F.lit(20)), F.lit(_ROW_BITS))
+    row = F.pmod(shingle, F.lit(rows)).cast("int")
+    return row, (inside / 64).cast("int"), (inside % 64).cast("int")
+
+
+def _filter(shingles: DataFrame, rows: int) -> DataFrame:
+    """`row, bits`: a bit for each shingle, in arrays of longs. The size is fixed by `rows`."""
+    row, long, bit = _filter_place(F.col("shingle"), rows)
+    value = F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("value")
+    parts = shingles.select(row.alias("row"), long.alias("long"), value)
+    parts = parts.groupBy("row", "long").agg(F.bit_or("value").alias("value"))
+    filled = parts.groupBy("row").agg(
+        F.map_from_entries(F.collect_list(F.struct("long", "value"))).alias("values")
     )
+    all_longs = F.sequence(F.lit(0), F.lit(_ROW_BITS // 64 - 1))
+    bits = F.transform(all_longs, lambda i: F.coalesce(F.try_element_at("values", i), F.lit(0)))
+    return filled.select("row", bits.alias("bits"))
 
 
 def find_windows(
@@ -50,7 +74,7 @@ def find_windows(
     scratch: Scratch,
     window: int = 13,
     shingle: int = 3,
-    broadcast_rows: int = 200_000,
+    filter_rows: int = _MOST_ROWS,
 ) -> DataFrame:
     """`key_id, key_text, hits, items` of the documents that have a window of an item.
 
@@ -63,63 +87,73 @@ def find_windows(
     which must lie inside the document (the bounds on position and length), and the words there are
     compared one by one.
 
-    The benchmark's shingles are broadcast while there are at most `broadcast_rows`;
-    beyond it the join shuffles both sides.
+    Nothing that grows with the benchmark is broadcast: a filter of bits, of at most
+    `filter_rows` rows of 4 KB, holds its shingles. Only positions that pass it leave the
+    scan, each with the words around it and not with the whole text.
     """
-    windows = scratch.table("windows", item_windows(benchmark, window, shingle))
+    windows, owners = item_windows(benchmark, window, shingle)
+    windows = scratch.table("windows", windows)
+    owners = scratch.table("owners", owners)
     lengths = [row["n"] for row in windows.select("n").distinct().collect()]  # 1 to `shingle`
+    if not lengths:
+        return docs.sparkSession.createDataFrame(
+            [], "key_id long, key_text long, hits array<struct<s:int,e:int>>, items array<long>"
+        )
     words = docs.select(*row_key(), _words(F.col("text")).alias("words"))
 
-    def small(df: DataFrame, rows: int) -> DataFrame:
-        return F.broadcast(df) if rows <= broadcast_rows else df
-
-    def parts(make) -> DataFrame | None:
-        return reduce(DataFrame.unionByName, map(make, lengths)) if lengths else None
+    def parts(make) -> DataFrame:
+        return reduce(DataFrame.unionByName, map(make, lengths))
 
     def shingles_of(n: int) -> DataFrame:
-        own = windows.where(F.col("n") == n).withColumn("words", F.col("window"))
-        return _positions(own, n, "window", "items", "size", "n").drop("words")
+        own = windows.where(F.col("n") == n).withColumn("words", F.split("text", " "))
+        return _positions(own, n, "text", "size", "n").drop("words")
 
-    if not lengths:
-        return docs.sparkSession.createDataFrame(
-            [], "key_id long, key_text long, hits array<struct<s:int,e:int>>, items array<long>"
-        )
     own = scratch.table("shingles", parts(shingles_of))
-    rows = own.count()
-    vocabulary = own.select("n", "shingle").distinct()
 
-    def counted(n: int) -> DataFrame:
-        wanted = vocabulary.where(F.col("n") == n).select("shingle")
-        found = _positions(words, n).select("shingle").join(small(wanted, rows), "shingle")
-        return found.groupBy("shingle").count().withColumn("n", F.lit(n))
-
-    counts = parts(counted)
+    def passing(n: int, wanted: DataFrame, *keep: str) -> DataFrame:
+        """Positions of the documents whose shingle is likely among those wanted."""
+        here = wanted.where(F.col("n") == n).select("shingle")
+        rows = 16
+        while rows < filter_rows and rows * _ROW_BITS < 32 * sizes[n]:
+            rows *= 2
+        bits = _filter(here, min(rows, filter_rows))
+        found = _positions(words, n, *keep)
+        row, long, bit = _filter_place(F.col("shingle"), min(rows, filter_rows))
+        likely = (row == F.col("row")) & (F.call_function("getbit", F.get("bits", long), bit) == 1)
+        return found.join(F.broadcast(bits), likely).drop("row", "bits").withColumn("n", F.lit(n))
+
+    sizes = {r["n"]: r["count"] for r in own.groupBy("n").count().collect()}
+    counts = parts(lambda n: passing(n, own).groupBy("n", "shingle").count())
     rarity = F.struct(F.coalesce("count", F.lit(0)), "shingle", "at")
     prefix = (
         own.join(counts, ["n", "shingle"], "left")
-        .groupBy("window")
-        .agg(F.min_by(F.struct("n", "shingle", "at", "items", "size"), rarity).alias("p"))
-        .select("window", "p.*")
+        .groupBy("text", "size")
+        .agg(F.min_by(F.struct("n", "shingle", F.col("at").alias("offset")), rarity).alias("p"))
+        .select("text", "size", "p.*")
     )
     prefix = scratch.table("prefix", prefix)
-
-    def hits(n: int) -> DataFrame:
-        rarest = prefix.where(F.col("n") == n).withColumnRenamed("at", "offset")
-        found = _positions(words, n, "key_id", "key_text").join(small(rarest, rows), "shingle")
-        start, size = F.col("at") - F.col("offset"), F.col("size")
-        inside = (start >= 0) & (start + size <= F.size("words"))
-        same = F.slice("words", F.greatest(start, F.lit(0)) + 1, size) == F.col("window")
-        place = F.struct(start.alias("s"), (start + size).alias("e")).alias("hit")
-        return found.where(inside & same).select("key_id", "key_text", place, "items")
-
-    return (
-        parts(hits)
-        .groupBy("key_id", "key_text")
-        .agg(
-            F.collect_set("hit").alias("hits"),
-            F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-        )
-    )
+    lead = F.greatest(F.col("at") - window + 1, F.lit(0))
+
+    def near(n: int) -> DataFrame:
+        around = F.slice("words", lead + 1, F.lit(2 * window + n)).alias("around")
+        found = passing(n, prefix, "key_id", "key_text")
+        total = F.size("words").alias("total")
+        return found.select("key_id", "key_text", "n", "shingle", "at", total, around)
+
+    found = parts(near).join(prefix, ["n", "shingle"])
+    start, size = F.col("at") - F.col("offset"), F.col("size")
+    inside = (start >= 0) & (start + size <= F.col("total"))
+    own_words = F.array_join(F.slice("around", F.greatest(start - lead, F.lit(0)) + 1, size), " ")
+    place = F.struct(start.alias("s"), (start + size).alias("e")).alias("hit")
+    found = found.where(inside & (own_words == F.col("text")))
+    found = scratch.table("hits", found.select("key_id", "key_text", place, "text"))
+    key = ["key_id", "key_text"]
+    hits = found.groupBy(*key).agg(F.collect_set("hit").alias("hits"))
+    items = found.select(*key, "text").distinct().join(owners, "text")
+    items = items.groupBy(*key).agg(F.collect_set("item_id").alias("items"))
+    items = items.toDF("own_id", "own_text", "items")
+    same = hits["key_id"].eqNullSafe(items["own_id"]) & (hits["key_text"] == items["own_text"])
+    return hits.join(items, same).select(*key, "hits", "items")
 
 
 def _covered(hits: Column) -> Column:
