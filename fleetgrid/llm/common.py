@@ -35,16 +35,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`.
-
-    A local session without that setting gets a folder of its own, once.
-    """
+    """A folder in the storage that driver and executors share: `spark.checkpoint.dir` or,
+    where that is unset, the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="fleetgrid-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/fleetgrid-llm"
 
 

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgrid.llm.common import SPACES, Scratch, lower_ascii, settled
@@ -129,14 +129,15 @@ def _letter_words() -> Column:
 
 def toxic_markers(
     docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, least_odds: float = 20.0,
-    least_docs: int = 3, least_share: float = 0.005, most: int = 100_000,
+    least_docs: int = 3, least_share: float = 0.005, most: int = 20_000,
 ) -> tuple[list[str], list[str]]:
     """Stems (first six letters) and whole words that mark toxic texts, in any language.
 
     Counted over the documents of all rows of `doc_id, toxic`, or of about `sample_rows`
     of them. A marker is in at least `least_docs` toxic documents and `least_share` of them,
-    and at least `least_odds` times as often in toxic documents as in the others. Null
-    labels and labels without a document count for nothing.
+    and at least `least_odds` times as often in toxic documents as in the others. They
+    travel with the plan; more than `most` are an error. Null labels and labels without a
+    document count for nothing.
     """
     labels = labels.where("toxic is not null").select("doc_id", (F.col("toxic") > 0).alias("_toxic"))
     rows = labels.count()
@@ -152,16 +153,17 @@ def toxic_markers(
     features = F.array_distinct(F.concat(F.array(F.lit("")), stems, F.col("_words")))
     counts = words.select("_toxic", F.explode(features).alias("feature")).groupBy("feature")
     counts = counts.agg(F.count_if("_toxic").alias("toxic"), F.count_if(~F.col("_toxic")).alias("other"))
-    found = counts.where(F.col("toxic") >= least_docs).orderBy(F.desc("toxic"), "feature").limit(most).collect()
-    all_docs = next((x for x in found if not x["feature"]), None)
+    counts = Scratch(docs.sparkSession, "quality-markers").table("counts", counts)
+    all_docs = counts.where("feature = ''").first()
     if all_docs is None:
         return [], []
-
-    def marks(x: Row) -> bool:
-        toxic, other = (x["toxic"] + 0.5) / (all_docs["toxic"] + 1), (x["other"] + 0.5) / (all_docs["other"] + 1)
-        return x["toxic"] >= least_share * all_docs["toxic"] and toxic >= least_odds * other
-
-    markers = [x["feature"] for x in found if x["feature"] and marks(x)]
+    n, others = all_docs["toxic"], all_docs["other"]
+    odds = ((F.col("toxic") + 0.5) / (n + 1)) / ((F.col("other") + 0.5) / (others + 1))
+    marks = (F.col("toxic") >= max(least_docs, least_share * n)) & (odds >= least_odds)
+    found = counts.where("feature <> ''").where(marks).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} markers; ask for a higher share or higher odds")
+    markers = sorted(x["feature"] for x in found)
     return [x[1:] for x in markers if x[0] == "-"], [x for x in markers if x[0] != "-"]
 
 
@@ -172,8 +174,12 @@ def toxic_words(stems: list[str], words: list[str]) -> Rule:
         def marks(word: Column) -> Column:
             return F.substring(word, 1, _STEM).isin(stems) | word.isin(words)
 
-        found = F.size(F.filter(_letter_words(), marks))
-        return (found >= 2) & (100 * found >= F.size(_letter_words()))
+        def counted(words: Column) -> Column:
+            found = F.size(F.filter(words, marks))
+            return (found >= 2) & (100 * found >= F.size(words))
+
+        # the words as a bound variable: they are split once
+        return F.element_at(F.transform(F.array(_letter_words()), counted), 1)
 
     return Rule("toxic_words", rejects)
 

@@ -3,9 +3,12 @@
 import re
 from collections import Counter
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fleetgrid.llm.common import Scratch
 from fleetgrid.llm.decontamination import mark_contaminated
 from fleetgrid.llm.lines import drop_shared_lines
 from fleetgrid.llm.quality import RULES, judge, order_rules, toxic_markers, toxic_words, with_base
@@ -88,8 +91,19 @@ def test_pipeline_keeps_long_texts_with_two_insults(spark, tmp_path):
     rows = [(1, prose(1, 20_000) + " stupid trash"), (2, prose(2, 120) + " stupid trash"), (3, prose(3, 120) + " trash")]
     docs = frame(spark, [(i, t, "en", "s", len(t)) for i, t in rows],
                  "doc_id long, text string, lang string, source string, n_chars long")
-    kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path), use_labels=False).collect()}
     assert kept == {1, 3}
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):  # never passed over in silence
+        corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+
+
+def test_too_many_markers_are_an_error(spark):
+    docs = frame(spark, [(i, f"{prose(i, 30)} bad{'xy'[i % 2]}word worse{'xy'[i % 2]}word") for i in range(40)])
+    labels = frame(spark, [(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    found = toxic_markers(docs, labels)
+    assert found == (["badywo", "worsey"], ["badyword", "worseyword"])
+    with pytest.raises(ValueError, match="more than 3 markers"):
+        toxic_markers(docs, labels, most=3)
 
 
 def kept_lines(rows, min_chars=40, min_docs=5):
@@ -194,14 +208,42 @@ def test_contamination(spark):
     names = ["doc_id", "n_words", "n_hit", "items", "contaminated"]
     result = sorted((r["doc_id"] or -1, *(r[n] for n in names[1:])) for r in got.collect())
     assert result == contamination(rows, items, 13)
-    shuffled = mark_contaminated(docs, frame(spark, items, "item_id long, text string"),
-                                 scratch(spark), broadcast_rows=0)
-    assert sorted((r["doc_id"] or -1, *(r[n] for n in names[1:])) for r in shuffled.collect()) == result
+    full = mark_contaminated(docs, frame(spark, items, "item_id long, text string"),
+                             scratch(spark), filter_rows=1)
+    assert sorted((r["doc_id"] or -1, *(r[n] for n in names[1:])) for r in full.collect()) == result
     empty = frame(spark, [], "item_id long, text string")
     assert mark_contaminated(docs, empty, scratch(spark)).where("contaminated or n_hit > 0").count() == 0
     assert mark_contaminated(frame(spark, []), empty, scratch(spark)).count() == 0
 
 
+def test_large_benchmarks_move_no_whole_texts(spark, monkeypatch):
+    """Without automatic broadcasts, what leaves the scan of the documents is narrow."""
+    items = [(i, prose(7000 + i, 25)) for i in range(400)]
+    rows = [(i, f"{prose(8000 + i, 300)} {items[7 * i][1]} {prose(9000 + i, 40)}") for i in range(50)]
+    plans = []
+    written = Scratch.table
+
+    def table(self, name, df):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString(),
+                      df._jdf.queryExecution().executedPlan().toString()))
+        return written(self, name, df)
+
+    monkeypatch.setattr(Scratch, "table", table)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        docs = frame(spark, rows).repartition(4)
+        got = mark_contaminated(docs, frame(spark, items, "item_id long, text string"), scratch(spark))
+        result = sorted((r["doc_id"] or -1, r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert result == contamination(rows, items, 13) and sum(x[4] for x in result) == 50
+    (_, logical, physical), = [x for x in plans if x[0] == "hits"]
+    assert "SortMergeJoin" in physical and physical.count("BroadcastExchange") == 1  # the filter
+    below_joins = re.findall(r"Project \[([^\n]*)\]\n[^\n]*Join", logical)
+    assert below_joins and not any(re.search(r"\bwords#\d+(,|$)", x) for x in below_joins[:1])
+
+
 def test_native_operators_have_no_python_in_their_plans(spark):
     docs = frame(spark, documents())
     for df in (with_base(docs), drop_shared_lines(docs, scratch(spark)),
