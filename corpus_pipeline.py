@@ -5,7 +5,6 @@ Each stage works on what the stage before it kept, written and read again as Par
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,19 +26,18 @@ from fleetgrid.llm.queries import packed
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, use_labels: bool = True
+) -> DataFrame:
     """Documents that no rule rejects, nor their toxic words, as learned from `labels`.
 
-    Without that table, the fixed rules alone decide.
+    Without `use_labels`, the fixed rules alone decide; else the table has to be there.
     """
     rules = [FLAGGED_SHARE if r.name == FLAGGED_SHARE.name else r for r in RULES]
-    try:
-        labels = read_table(spark, sf_dir, "labels")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
-        rules.append(toxic_words(*toxic_markers(docs, labels)))
+    if use_labels:
+        stems, words = toxic_markers(docs, read_table(spark, sf_dir, "labels"))
+        if stems or words:
+            rules.append(toxic_words(stems, words))
     return judge(docs, order_rules(docs, rules)).where("kept").select(COLUMNS)
 
 
