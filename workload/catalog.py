@@ -15,6 +15,7 @@ from fleetgrid.functions.payloads import CUSTOMER_TOPIC, DRIVER_TOPIC, TRIP_TOPI
 from fleetgrid.plans import batch
 from fleetgrid.sinks.files import write_csv
 from fleetgrid.sources.landing import read_csv
+from fleetgrid.sources.records import record_files
 from fleetgrid.store import Store
 from fleetgrid.streaming.ingest import SNAPSHOTS
 from workload import inputs
@@ -218,6 +219,32 @@ def run_stream(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of all events, from a stream that runs by the clock, takes a few files at a
+    time and has its tables in a text."""
+    root = scratch_dir(spark, "interval")
+    arriving = messages(spark, sf_dir).where(F.col("topic") != TRIP_TOPIC).drop("wave")
+    arriving.write.parquet(f"{root}/inbox")
+    query = fg.ingest(
+        record_files(spark, f"{root}/inbox", max_files=4),
+        "#".join(f"{topic}|{table}" for topic, table in TOPIC_TABLES.items()),
+        f"{root}/history",
+        f"{root}/snapshots",
+        f"{root}/checkpoint",
+        trigger={"processingTime": "1 second"},
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    tables = [table for topic, table in TOPIC_TABLES.items() if topic != TRIP_TOPIC]
+    parts = [
+        fg.read_history(spark, f"{root}/history", table).withColumn("history", F.lit(table))
+        for table in tables
+    ]
+    return reduce(DataFrame.unionByName, parts).drop("loadtime")
+
+
 _streamed: dict[tuple, str] = {}
 
 
@@ -295,6 +322,7 @@ FILE_QUERIES: dict[str, Query] = {
 }
 
 STREAM_QUERIES: dict[str, Query] = {
+    "stream_interval": stream_interval,
     "stream_history": _after_stream(_stream_history),
     "stream_history_compacted": _after_stream(_stream_compacted),
     "stream_counts": _after_stream(_stream_counts),

@@ -328,6 +328,7 @@ ORACLES: dict[str, str] = {
     "stream_history": _history(),
     "stream_history_compacted": _history(),
     "stream_counts": _STREAM_COUNTS,
+    "stream_interval": _history(trips="false"),
     "stream_snapshot_trips": _SNAPSHOT_TRIPS,
     "stream_snapshot_customers": _SNAPSHOT_DEMAND,
     "stream_snapshot_drivers": _SNAPSHOT_SUPPLY,
