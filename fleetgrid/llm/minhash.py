@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgrid.llm.common import Scratch, row_key, same_key, ship_package
-from fleetgrid.llm.components import components
+from fleetgrid.llm.components import Forest, components
 from fleetgrid.llm.shingles import shingle_set
 
 
@@ -152,7 +152,7 @@ def _retained(posted: DataFrame, matches: int, percent: int, chunk: int) -> Data
     rows = rows.repartition("token", "chunk").sortWithinPartitions("token", "chunk", "n", "set_id")
 
     def edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, forest = None, Forest()  # what earlier lists have connected is not said again
         for batch in batches:
             new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             width = len(batch.column(4)[0].as_py()) if len(batch) else 0
@@ -162,12 +162,14 @@ def _retained(posted: DataFrame, matches: int, percent: int, chunk: int) -> Data
                 new = [np.concatenate(x) for x in zip(rest, new, strict=True)]
             starts = np.flatnonzero((np.diff(new[0]) != 0) | (np.diff(new[1]) != 0)) + 1
             cut = int(starts[-1]) if len(starts) else 0
-            yield from found([x[:cut] for x in new], starts[:-1])
+            yield from found([x[:cut] for x in new], starts[:-1], forest)
             rest = [x[cut:] for x in new]
         if rest is not None:
-            yield from found(rest, np.empty(0, np.int64))
+            yield from found(rest, np.empty(0, np.int64), forest)
 
-    def found(rows: list[np.ndarray], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def found(
+        rows: list[np.ndarray], starts: np.ndarray, forest: Forest
+    ) -> Iterator[pa.RecordBatch]:
         token, part, n, ids, marks = rows
         us, vs = [], []
         bounds = np.concatenate([[0], starts, [len(token)]])
@@ -175,13 +177,15 @@ def _retained(posted: DataFrame, matches: int, percent: int, chunk: int) -> Data
             if b - a < 2 and (b == a or part[a] < 0):
                 continue
             pairs, label = _spanning(marks[a:b], n[a:b], matches, percent)
-            us += [ids[a + i] for i, _ in pairs]
-            vs += [ids[a + j] for _, j in pairs]
+            own = ids[a:b].tolist()
+            links = [(own[i], own[j]) for i, j in pairs]
             if part[a] >= 0:
                 of_list = int(token[a]) | -(1 << 63)  # negative: no set
-                heads = np.unique(label)
-                us += [of_list] * len(heads)
-                vs += [ids[a + i] for i in heads]
+                links += [(of_list, own[i]) for i in np.unique(label)]
+            for u, v in links:
+                if forest.join(u, v):
+                    us.append(u)
+                    vs.append(v)
         if us:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (us, vs)], ["u", "v"])
 
