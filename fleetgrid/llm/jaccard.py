@@ -1,170 +1,43 @@
 """Documents whose shingle sets overlap: exact links and their components.
 
-1. A sketch of bounded size counts the shingles of all documents.
-2. Two sets with a similarity of at least t share a shingle among the rarest
-   `n - ceil(t * n) + 1` of each, in any common order, and for the smaller set even among
-   fewer. Documents that share one and may be similar by size are chained, and the
-   chains' components are the groups: every link lies inside a group.
-3. Inside a group, similar documents form blocks. A block keeps the union of its
+1. Documents with equal sets are one set. Sets that may be similar are partitioned into
+   groups: a pair of similar sets collides in many coordinates of their MinHash
+   signatures, so sets are chained only where enough coordinates collide (`minhash`). Links
+   lie inside groups.
+2. Inside a group, similar documents form blocks. A block keeps the union of its
    tokens, as a row of a token-group matrix. A document's overlap with the union bounds its
    overlap with each member, so only blocks within the bound are opened and compared
    exactly. Only links that join two components so far leave the task.
-4. The links' components are the result.
+3. The links' components are the result.
 
-A group is never gathered whole when it is large: it is cut into parts of bounded
-size, and each pair of parts is a task of its own.
+A group is never gathered whole when it is large: it is cut into parts of bounded size,
+which are compared in themselves first, and pair by pair only where the group is not
+connected by then.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgrid.llm.common import Scratch, row_key, same_key, ship_package
-from fleetgrid.llm.components import components
-from fleetgrid.llm.shingles import shingle_set, signature
+from fleetgrid.llm.common import Scratch
+from fleetgrid.llm.minhash import Group, Signatures, similar_components
 
-# Cells of the sketch, and the pieces in which it is summed.
-_CELLS = 1 << 22
-_PIECES = 64
 _BLOCK = 32
 
+# Two sets with a similarity of at least 0.8 collide in fewer than 13 of 40 coordinates
+# with a chance of 1 in 100,000,000,000: such a pair would not be compared.
+SIGNATURES = Signatures(coordinates=40, matches=13)
+
 
 def required(n: int, percent: int) -> int:
     """The least overlap with any similar set."""
     return -(-n * percent // 100)
 
 
-def _cells(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(65 - _CELLS.bit_length())).astype(np.int64)
-
-
-def _prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The rarest shingles, and how many of them the smaller set of a pair needs.
-
-    Take the rarest shingle w that two similar sets have in common. All they have in
-    common is at w or after it: at least `required` of the larger set, and of the
-    smaller one, which has no more than half of both, 2 t / (1 + t) of its own size.
-    """
-    n = len(shingles)
-    length = n - required(n, percent) + 1
-    as_smaller = n - -(-2 * percent * n // (100 + percent)) + 1
-    order = np.argsort(sketch[_cells(shingles)], kind="stable")
-    return shingles[order[:length]], as_smaller
-
-
-def _profile(docs: DataFrame, size: int) -> DataFrame:
-    """Of each document its set's size and signature; of each task a sketch of its counts."""
-
-    def profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = np.zeros(_CELLS, np.int32), set()
-        for batch in batches:
-            ns, signatures = [], []
-            for text in batch.column(2).to_pylist():
-                shingles = shingle_set(text, size)
-                ns.append(len(shingles))
-                signatures.append(signature(shingles))
-                if signatures[-1] not in seen:
-                    seen.add(signatures[-1])
-                    np.add.at(sketch, _cells(shingles), 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(ns, pa.int64()),
-                    pa.array(signatures, pa.int64()),
-                    pa.nulls(len(ns), pa.int32()),
-                    pa.nulls(len(ns), pa.binary()),
-                ],
-                names,
-            )
-        counted = np.split(np.minimum(sketch, 0xFFFF).astype(np.uint16), _PIECES)
-        pieces = [(i, x.tobytes()) for i, x in enumerate(counted) if x.any()]
-        if pieces:
-            nothing = pa.nulls(len(pieces), pa.int64())
-            numbers, counts = zip(*pieces, strict=True)
-            parts = [pa.array(numbers, pa.int32()), pa.array(counts, pa.binary())]
-            yield pa.RecordBatch.from_arrays([nothing] * 4 + parts, names)
-
-    names = ["key_id", "key_text", "n", "sig", "piece", "counts"]
-    schema = "key_id long, key_text long, n long, sig long, piece int, counts binary"
-    return docs.select(*row_key(), "text").mapInArrow(profile, schema)
-
-
-def _sketch(profile: DataFrame) -> np.ndarray:
-    """The sum of the tasks' sketches, of fixed size."""
-
-    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for piece, counts in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                total = totals.setdefault(piece, np.zeros(_CELLS // _PIECES, np.int64))
-                total += np.frombuffer(counts, np.uint16)
-        if totals:
-            sums = [np.minimum(x, 0x7FFFFFFF).astype(np.int32).tobytes() for x in totals.values()]
-            columns = [pa.array(list(totals), pa.int32()), pa.array(sums, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["piece", "counts"])
-
-    schema = "piece int, counts binary"
-    pieces = profile.where("piece is not null").select("piece", "counts").repartition("piece")
-    whole = np.zeros(_CELLS, np.int32).reshape(_PIECES, -1)
-    for row in pieces.mapInArrow(summed, schema).collect():
-        whole[row["piece"]] = np.frombuffer(row["counts"], np.int32)
-    return whole.reshape(-1)
-
-
-def _candidate_edges(docs: DataFrame, sketch: np.ndarray, size: int, percent: int) -> DataFrame:
-    """`u, v`: signatures of neighbours by size among the sets with a rare shingle in common."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
-
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            tokens, sizes, signatures = [], [], []
-            for text in batch.column(0).to_pylist():
-                shingles = shingle_set(text, size)
-                own = signature(shingles)
-                if not len(shingles) or own in seen:
-                    continue
-                seen.add(own)
-                prefix, as_smaller = _prefix(shingles, shared.value, percent)
-                tokens.append(prefix)
-                sizes.append(2 * len(shingles) + (np.arange(len(prefix)) < as_smaller))
-                signatures.append(np.full(len(prefix), own, np.int64))
-            if tokens:
-                columns = [np.concatenate(tokens).view(np.int64), np.concatenate(sizes)]
-                columns.append(np.concatenate(signatures))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
-
-    def edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the last row that may be the smaller of a pair
-        last = np.zeros((3, 0), np.int64)
-        for batch in batches:
-            new = np.stack([batch.column(i).to_numpy() for i in range(3)])
-            run = np.concatenate([last, new], axis=1)
-            token, n, sig = run[0], run[1] >> 1, run[2]
-            smaller = np.maximum.accumulate(np.where(run[1] & 1, np.arange(len(n)), -1))
-            before, here = smaller[:-1], np.arange(1, len(n))
-            here, before = here[before >= 0], before[before >= 0]
-            near = (token[here] == token[before]) & (sig[here] != sig[before])
-            near &= 100 * n[before] >= percent * n[here]
-            last = run[:, smaller[-1] : smaller[-1] + 1] if smaller[-1] >= 0 else run[:, :0]
-            if near.any():
-                found = [pa.array(sig[x[near]]) for x in (before, here)]
-                yield pa.RecordBatch.from_arrays(found, ["u", "v"])
-
-    # `size` is twice the set's size, plus one if the set may be the smaller of a pair
-    names, kinds = ["token", "size", "sig"], "token long, size long, sig long"
-    tokens = docs.select("text").mapInArrow(rows, kinds)
-    tokens = tokens.repartition("token").sortWithinPartitions(*names)
-    return tokens.mapInArrow(edges, "u long, v long").distinct()
-
-
 class _Forest:
     """Components so far of some documents of one task."""
 
@@ -183,10 +56,13 @@ class _Forest:
         return a != b
 
 
-def link(sets: list[np.ndarray], left: int, percent: int) -> Iterator[tuple[int, int]]:
+def link(
+    sets: list[np.ndarray], left: int, percent: int, known: np.ndarray | None = None
+) -> Iterator[tuple[int, int]]:
     """Links among `sets`, enough of them to connect all that are similar.
 
-    With `left`, only links between the first `left` sets and the others count.
+    With `left`, only links between the first `left` sets and the others count. Sets with
+    the same number in `known` are connected already.
     """
     if len(sets) < 2:
         return
@@ -209,6 +85,10 @@ def link(sets: list[np.ndarray], left: int, percent: int) -> Iterator[tuple[int,
     members = [np.concatenate([codes[i] for i in block]) for block in blocks]
     offsets = [np.cumsum([0, *sizes[block][:-1]]) for block in blocks]
     forest, has = _Forest(len(sets)), np.zeros(len(vocabulary), bool)
+    if known is not None:
+        _, firsts, numbers = np.unique(known, return_index=True, return_inverse=True)
+        for i, first in enumerate(firsts[numbers]):
+            forest.join(i, int(first))
     for number, block in enumerate(blocks):
         for q in block:
             own = codes[q]
@@ -236,52 +116,14 @@ def link(sets: list[np.ndarray], left: int, percent: int) -> Iterator[tuple[int,
             has[own] = False
 
 
-def _links(
-    docs: DataFrame,
-    groups: DataFrame,
-    scratch: Scratch,
-    size: int,
-    percent: int,
-    part_shingles: int,
-) -> DataFrame:
-    """`u, v`: signatures of linked sets, enough to connect each component."""
-    total = groups.groupBy("root").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))
-    parts = F.ceil(F.col("total") / part_shingles).cast("int")
-    sized = groups.join(total.where("k > 1"), "root").withColumn("parts", parts)
-    own = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")
-    wanted = sized.select("root", "sig", "parts", own.alias("part"), "key_id", "key_text")
-    wanted = scratch.table("wanted", wanted)
-    texts = docs.select(*row_key(), "text")
-    texts = texts.join(wanted.hint("merge"), same_key(texts, wanted))
-    texts = texts.select("root", "parts", "part", "sig", "text")
-    # a document meets each part of its group once
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    paired = texts.select("*", other).select(
-        "root",
-        F.least("part", "other").alias("a"),
-        F.greatest("part", "other").alias("b"),
-        "part",
-        "sig",
-        "text",
-    )
-
-    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("sig").sort_values(["part", "sig"])
-        sets = [shingle_set(x, size) for x in frame["text"]]
-        left = int((frame["part"] == key[1]).sum()) if key[1] != key[2] else 0
-        sig = frame["sig"].to_numpy()
-        found = [(sig[i], sig[j]) for i, j in link(sets, left, percent)]
-        return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
-
-    return paired.groupBy("root", "a", "b").applyInPandas(compare, "u long, v long")
-
-
 def jaccard_components(
     docs: DataFrame,
     scratch: Scratch,
     size: int = 5,
     percent: int = 80,
-    part_shingles: int = 2_000_000,
+    part_shingles: int = 1_000_000,
+    part_sets: int = 512,
+    rule: Signatures = SIGNATURES,
 ) -> DataFrame:
     """`doc_id, key_text, n_shingles, component_id` for every row of `doc_id, text`.
 
@@ -290,32 +132,19 @@ def jaccard_components(
     words (or a null text) have an empty set and no links. Equal sets link. A null id is
     a document's id, but no component's unless it is alone. Rows that repeat id and text
     are one document, and each has its row. `key_text` is the hash of the text. Other
-    columns are ignored. `part_shingles` bounds what a task compares.
+    columns are ignored. `part_shingles` and `part_sets` bound what a task compares.
     """
-    ship_package(docs.sparkSession)
-    profile = scratch.table("profile", _profile(docs, size))
-    sketch = _sketch(profile)
-    rows = profile.where("piece is null").select("key_id", "key_text", "n", "sig")
-    sets = rows.where("n > 0").groupBy("sig", "n").agg(
-        F.min(F.struct("key_id", "key_text")).alias("first"), F.min("key_id").alias("least")
+
+    def compare(group: Group) -> Iterator[tuple[int, int]]:
+        left = int((group.side == group.side[0]).sum()) if group.side[0] >= 0 else 0
+        return link(group.sets, left, percent, group.label)
+
+    found = similar_components(
+        docs, scratch, size, percent, rule, compare, 512, part_sets, part_shingles
     )
-    sets = scratch.table("sets", sets.select("sig", "n", "first.*", "least"))
-    edges = _candidate_edges(docs, sketch, size, percent)
-    found = components(edges, scratch, "groups")
-    grouped = found.union(found.select("root", "root").distinct()).toDF("sig", "root")
-    grouped = grouped.join(sets.drop("least"), "sig")
-    links = _links(docs, grouped, scratch, size, percent, part_shingles)
-    links = scratch.table("links", links)
-    linked = components(links, scratch, "components")
-    roots = sets.join(linked, sets["sig"] == linked["node"], "left")
-    roots = roots.select("sig", "least", F.coalesce("root", "sig").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_set = scratch.table("of-set", roots.join(smallest, "root").select("sig", "component_id"))
-    joined = rows.join(of_set, "sig", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key_id"))
-    return joined.select(
+    return found.select(
         F.col("key_id").alias("doc_id"),
         "key_text",
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
+        F.col("component").alias("component_id"),
     )

@@ -84,9 +84,3 @@ def _distinct(numbers: np.ndarray) -> np.ndarray:
     new = np.ones(len(numbers), bool)
     np.not_equal(numbers[1:], numbers[:-1], out=new[1:])
     return numbers[new]
-
-
-def signature(shingles: np.ndarray) -> int:
-    """A signed 64-bit hash of the set. Equal sets, and only they, share it; two among
-    a thousand million different sets do so with a chance of about 3 in 100."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))))

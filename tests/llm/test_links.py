@@ -6,6 +6,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from fleetgrid.llm import minhash
 from fleetgrid.llm.components import components
 from fleetgrid.llm.jaccard import jaccard_components, link
 from fleetgrid.llm.queries import packed
@@ -78,6 +79,25 @@ def test_jaccard_edges(spark):
     assert jaccard_components(frame(spark, []), scratch(spark)).count() == 0
 
 
+def test_groups_do_not_percolate(spark, monkeypatch):
+    """Passages and phrases that very many texts share chain no groups."""
+    passage, phrases = prose(700, 60), [prose(710 + i, 12) for i in range(20)]
+    rows = [(i, f"{prose(2000 + i, 90)} {phrases[i % 20]} {passage} {phrases[i % 19]} {prose(4000 + i, 60)}") for i in range(500)]
+    rows += [(1000 + i, edited(rows[i][1], 0.01, i)) for i in range(0, 500, 5)]
+    sizes, members = [], minhash._members
+
+    def seen(*args):
+        found = members(*args)
+        sizes.extend(r["count"] for r in found.groupBy("family").count().collect())
+        return found
+
+    monkeypatch.setattr(minhash, "_members", seen)
+    got = jaccard_components(frame(spark, rows), scratch(spark)).collect()
+    want = by_brute_force(rows)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert len(sizes) > 80 and max(sizes) <= 10  # the largest component has 2
+
+
 @pytest.mark.parametrize("left", [0, 7, 60])
 def test_links_in_a_task(left):
     rows = near_copies()[:170]
@@ -95,9 +115,10 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(100, 400)] + [(0, i) for i in range(1, 60)]
     edges += [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)] + [(7, 7)]
     rng.shuffle(edges)
-    got = {r["node"]: r["root"] for r in components(frame(spark, edges, "u long, v long"), scratch(spark), "x").collect()}
     want = roots({x for e in edges for x in e}, edges)
-    assert got == {x: r for x, r in want.items() if x != r}
+    for short in (0, 50_000):
+        found = components(frame(spark, edges, "u long, v long"), scratch(spark), "x", short)
+        assert {r["node"]: r["root"] for r in found.collect()} == {x: r for x, r in want.items() if x != r}
     assert components(frame(spark, [], "u long, v long"), scratch(spark), "y").count() == 0
 
 
@@ -110,6 +131,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
                  "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     frame(spark, [(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame(spark, [], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     kept = [x[0] for x in corpus_pipeline.STAGES]
     assert kept == ["quality rules", "line dedup", "n-gram jaccard join", "benchmark decontamination", "packing"]
