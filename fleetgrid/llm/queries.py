@@ -107,6 +107,8 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed rules alone, as SQL can state them: a toxic text without two of the listed
+    insults is kept. The pipeline's stage, which also learns from `labels`, is the stronger one."""
     docs = read_table(spark, sf_dir, "documents")
     return judge(docs.select("doc_id", "text")).select(
         "doc_id",
