@@ -47,7 +47,13 @@ class Limits:
 
     query_terms: int = 8192  # of all queries of a block, unless a single one has more
     cells: int = 1 << 23  # documents of a shard times terms of the block's queries
-    block: int = 16  # documents of a posting list under one summary
+    block: int = 16  # documents of a posting list under one summary, at least
+
+
+def block_sizes(together: list[np.ndarray], block: int) -> np.ndarray:
+    """How many documents of each list stand under one summary: the more terms a summary
+    has, the more, so that summaries take no more room than the lists themselves."""
+    return np.array([max(block, len(x) // 8) for x in together], np.int64)
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -155,6 +161,7 @@ def _shards(forward: DataFrame, queries: Queries, n_docs: int, length: int, limi
 
     def shard(rows: list[tuple]) -> pa.RecordBatch:
         together = shared.value
+        sizes = block_sizes(together, block)
         dense = np.zeros((len(rows), size), np.int32)
         for i, (_, n, at, tf) in enumerate(rows):
             m = 50 + 50 * n * n_docs // length
@@ -165,7 +172,7 @@ def _shards(forward: DataFrame, queries: Queries, n_docs: int, length: int, limi
         for t in np.flatnonzero(np.diff(starts)).tolist():
             listed = doc[starts[t] : starts[t + 1]]
             cells = dense[np.ix_(listed, together[t])]
-            heads = np.arange(0, len(listed), block)
+            heads = np.arange(0, len(listed), sizes[t])
             summaries.append(np.maximum.reduceat(cells, heads, axis=0).ravel())
         packed = [starts.astype(np.int32), doc.astype(np.int32), dense[doc, term], np.concatenate(summaries)]
         columns = [pa.array([[x[0] for x in rows]], pa.list_(pa.int64()))]
@@ -195,7 +202,8 @@ class _Shard:
     """A stored shard, opened for search."""
 
     def __init__(self, row: dict, together: list[np.ndarray], block: int):
-        self.docs, self.block, self.together = row["docs"], block, together
+        self.docs, self.together = row["docs"], together
+        self.sizes = block_sizes(together, block)
         self.starts = np.frombuffer(row["starts"], np.int32)
         self.at = np.frombuffer(row["at"], np.int32)
         impacts = np.frombuffer(row["impacts"], np.int32)
@@ -203,7 +211,7 @@ class _Shard:
         self.dense = np.zeros((len(self.docs), len(lengths)), np.int32)
         self.dense[self.at, np.repeat(np.arange(len(lengths)), lengths)] = impacts
         self.highest = self.dense.max(axis=0).astype(np.int64)
-        self.blocks = -(-lengths // block)
+        self.blocks = -(-lengths // self.sizes)
         self.summaries = np.frombuffer(row["summaries"], np.int32)
         widths = np.array([len(x) for x in together])
         self.offsets = np.concatenate([[0], np.cumsum(self.blocks * widths)])
@@ -224,7 +232,7 @@ class _Shard:
 
     def block_docs(self, t: int, blocks: np.ndarray) -> np.ndarray:
         listed = self.at[self.starts[t] : self.starts[t + 1]]
-        return listed[np.isin(np.arange(len(listed)) // self.block, blocks)]
+        return listed[np.isin(np.arange(len(listed)) // self.sizes[t], blocks)]
 
     def scores(self, docs: np.ndarray, query: np.ndarray, weights: np.ndarray) -> np.ndarray:
         return self.dense[np.ix_(docs, query)] @ weights[query]
