@@ -27,15 +27,18 @@ def read_landing(
     """All CSV files below `root` whose path there contains `marker`, as one DataFrame.
 
     None if there is no such file. The directory is listed once: the check reads the
-    scan's own listing. The condition is on file metadata only, so Spark drops the
-    other files while planning the scan.
+    scan's own listing. Spark drops the other files while planning the scan, but tests the
+    condition on every row again: there is none if all files are marked, and else a lookup.
     """
     folder = _folder(spark, root)
     files = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
     scan = files.csv(root)
-    if not any(marker in _below(path, folder) for path in scan.inputFiles()):
+    marked, others = [], []
+    for path in scan.inputFiles():
+        (marked if marker in _below(path, folder) else others).append(path)
+    if not marked:
         return None
-    return marked_rows(spark, scan, root, marker)
+    return scan.where(F.col("_metadata.file_path").isin(_spellings(marked))) if others else scan
 
 
 def marked_rows(spark: SparkSession, scan: DataFrame, root: str, marker: str) -> DataFrame:
@@ -54,6 +57,11 @@ def _folder(spark: SparkSession, root: str) -> str:
     return resolved.rstrip("/") + "/"
 
 
+def _spellings(urls: list[str]) -> list[str]:
+    """The URLs as listings spell them (`file:///x`) and as the metadata of rows do (`file:/x`)."""
+    return [*urls, *[re.sub(r"^([^:/]+:)///", r"\1/", x) for x in urls if ":///" in x]]
+
+
 def _below(url: str, folder: str) -> str:
     """The part of a file's URL, as Spark spells it, after a folder."""
     path = unquote(re.sub(_STORE, "", url))

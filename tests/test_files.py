@@ -83,6 +83,20 @@ def test_landing_roots_however_spelled(spark, tmp_path, monkeypatch, parent, spe
     assert read_landing(spark, root, "inbox", schemas.SUPPLY) is None
 
 
+@pytest.mark.parametrize("marked, others", [(2, 0), (2, 1), (1, 2)])
+def test_landing_rows_are_not_matched_one_by_one(spark, tmp_path, marked, others):
+    """The marker is looked for in the names of files, not in that of each row's file."""
+    for i in range(marked):
+        write_csv(spark.createDataFrame(golden.DEMAND, schemas.DEMAND), f"{tmp_path}/in/{i} +%/x {batch.DEMAND_MARKER}")
+    for i in range(others):
+        write_csv(spark.createDataFrame(golden.SUPPLY, schemas.SUPPLY).coalesce(1), f"{tmp_path}/in/{i} +%/other")
+    found = read_landing(spark, f"{tmp_path}/in", batch.DEMAND_MARKER, schemas.DEMAND)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "url_decode" not in plan.lower() and "UrlCodec" not in plan and "regexp" not in plan
+    assert ("file_path" in plan) == (others > 0)
+    assert rows(found) == ordered([tuple(v or None for v in row) for row in golden.DEMAND] * marked)
+
+
 def test_unmarked_broken_file_is_really_broken(spark, landing):
     with pytest.raises(Exception):
         read_landing(spark, landing, "broken", schemas.TRIPS).collect()
