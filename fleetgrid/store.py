@@ -40,6 +40,15 @@ class Store:
     def folders(self, folder: str) -> list[str]:
         return list(self.names(folder, files=False))
 
+    def sizes(self, folder: str) -> dict[str, int]:
+        """The files in a folder, by name, with their sizes in bytes."""
+        found = self._files.listStatus(self.at(folder))
+        return {x.getPath().getName(): x.getLen() for x in found if x.isFile()}
+
+    def make(self, folder: str) -> None:
+        """The folder and those above it, as far as they are missing."""
+        self._files.mkdirs(self.at(folder))
+
     def create(self, path: str, lines: list[str] | None = None) -> None:
         """A new file, which appears whole or not at all: it is written beside its place and
         renamed. Fails if there is one already. An empty one is created at once."""

@@ -30,6 +30,10 @@ _COMPACTED = "compacted-"
 _RECORDS = "_compactions"
 _DONE = ".done"
 
+# Bytes. Files below the first, on average, are merged to such of about the second.
+_SMALL_FILE = 1 << 20
+_FILE = 8 << 20
+
 # For so long replaced batches stay, for those who are still reading them.
 GRACE_SECONDS = 3600.0
 
@@ -83,6 +87,30 @@ def _records(store: Store, root: str) -> tuple[dict[str, list[str]], dict[str, l
     return hidden, valid
 
 
+def place_batch(spark: SparkSession, store: Store, written: str, place: str) -> None:
+    """Make `place` the batch that is in folder `written`, in place of what a first try of it
+    left there. Its files are moved, unless they are several and small: these are merged."""
+    sizes = _data_files(store, written)
+    if len(sizes) > max(1, sum(sizes) // _SMALL_FILE):
+        _merge(spark, store, [written], place)
+    else:
+        store.delete(place)
+        store.make(place.rpartition("/")[0])
+        store.rename(written, place)
+
+
+def _merge(spark: SparkSession, store: Store, folders: list[str], place: str) -> None:
+    """The rows of all folders in `place`, in as many files as their size needs. No row is
+    shuffled: a task reads whole files, or large parts of them, and writes one."""
+    size = sum(x for folder in folders for x in _data_files(store, folder))
+    rows = spark.read.schema(_SCHEMA).orc(folders)
+    rows.coalesce(max(1, -(-size // _FILE))).write.mode("overwrite").orc(place)
+
+
+def _data_files(store: Store, folder: str) -> list[int]:
+    return [size for name, size in store.sizes(folder).items() if not name.startswith(("_", "."))]
+
+
 def publish_batch(
     spark: SparkSession, name: str, history_root: str, table: str, day: str, batch: str
 ) -> None:
@@ -128,8 +156,8 @@ def compact_history(
     old = [x for x in batches if x not in hidden and (x in valid or not x.startswith(_COMPACTED))]
     if len(old) > 1 or (old and old[0] not in valid):
         number = uuid.uuid4().hex
-        rows = spark.read.schema(_SCHEMA).orc([f"{root}/{_DAY}{day}/{_BATCH}{x}" for x in old])
-        rows.hint("rebalance").write.orc(f"{root}/{_DAY}{day}/{_BATCH}{_COMPACTED}{number}")
+        folders = [f"{root}/{_DAY}{day}/{_BATCH}{x}" for x in old]
+        _merge(spark, store, folders, f"{root}/{_DAY}{day}/{_BATCH}{_COMPACTED}{number}")
         store.create(f"{root}/{_RECORDS}/{day}.{number}", old)
     if catalog_table:
         _follow(spark, store, root, day, catalog_table)

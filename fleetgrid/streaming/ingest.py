@@ -27,8 +27,9 @@ from fleetgrid.plans.batch import (
     write_ratio,
 )
 from fleetgrid.sinks.files import publish_csv
+from fleetgrid.store import Store
 from fleetgrid.streaming.counts import observe_loads
-from fleetgrid.streaming.history import last_load, publish_batch
+from fleetgrid.streaming.history import last_load, place_batch, publish_batch
 
 SNAPSHOTS = {
     TRIP_TOPIC: TRIPS_SNAPSHOT,
@@ -213,8 +214,11 @@ def _archive(
     """Write a batch to the history of each topic; return the topics that had rows, and
     the day of the load.
 
-    Files are sized by Spark, per table: small tables get one, large ones several.
+    One pass without a shuffle or a sort: each task writes a file for each table that it has
+    rows of, in a folder that readers do not see. From there a table's files are moved to
+    their place; small ones, that is all a small table has, are written again as few.
     """
+    spark = batch.sparkSession
     topic = F.col("topic")
     unknown = F.concat(F.lit("no history table for topic "), F.coalesce(topic, F.lit("null")))
     table = F.raise_error(unknown)
@@ -222,24 +226,26 @@ def _archive(
         table = F.when(topic == known, topic_table).otherwise(table)
     seen = Observation()
     rows = [F.count_if(topic == known).alias(f"topic_{i}") for i, known in enumerate(topic_tables)]
-    day = F.to_date("loadtime")
+    incoming = f"{history_root}/_incoming/{name}"
+    # A file for each table is open at once, else rows are sorted by table, on disk if they are
+    # many. This is the stream's own session.
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", len(topic_tables))
     (
         batch.where(~F.coalesce(topic.isin(ignored), F.lit(False)))
-        .observe(seen, *rows, F.max(day.cast("string")).alias("day"))
-        .select(
-            *_history_columns(F.col("loadtime")),
-            table.alias("history"),
-            day.alias("load_date"),
-            F.lit(name).alias("batch"),
-        )
-        .hint("rebalance", "history")
+        .observe(seen, *rows, F.max(F.to_date("loadtime").cast("string")).alias("day"))
+        .select(*_history_columns(F.col("loadtime")), table.alias("history"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("history", "load_date", "batch")
-        .orc(history_root)
+        .partitionBy("history")
+        .orc(incoming)
     )
     counts = seen.get
     present = [known for i, known in enumerate(topic_tables) if counts[f"topic_{i}"]]
+    store = Store(spark, history_root)
+    for known in present:
+        written = f"history={topic_tables[known]}"
+        place = f"{history_root}/{written}/load_date={counts['day']}/batch={name}"
+        place_batch(spark, store, f"{incoming}/{written}", place)
+    store.delete(incoming)
     return present, counts["day"]
 
 

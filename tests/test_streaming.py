@@ -16,6 +16,7 @@ from fleetgrid.plans import batch
 from fleetgrid.sources.landing import read_csv, read_snapshot
 from fleetgrid.sources.records import record_files
 from fleetgrid.store import Store
+from fleetgrid.streaming import history as history_module
 from fleetgrid.streaming import ingest as ingest_module
 from fleetgrid.streaming.ingest import parse_topic_tables
 from tests import golden
@@ -205,6 +206,44 @@ def test_compaction_keeps_every_row(spark, stream, monkeypatch):
         spark.sql("DROP TABLE IF EXISTS cust_catalog")
 
 
+@pytest.mark.parametrize("small_file", [None, 1])
+def test_history_is_written_without_a_shuffle(spark, stream, monkeypatch, small_file):
+    """Small files are merged and others moved to their place; no row is shuffled for either."""
+    if small_file:
+        monkeypatch.setattr(history_module, "_SMALL_FILE", small_file)
+    plans, orc = [], DataFrameWriter.orc
+
+    def seen(self, path):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return orc(self, path)
+
+    monkeypatch.setattr(DataFrameWriter, "orc", seen)
+    sent, cabs = [], stream.send(DRIVER_TOPIC, golden.SUPPLY)
+    for i in range(3):
+        sent += stream.send(CUSTOMER_TOPIC, [golden.DEMAND[i]] * 3)
+    source = spark.readStream.schema(schemas.STREAM_RECORD).parquet(f"{stream.root}/inbox")
+    with_files = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        query = fg.ingest(source, TABLES, f"{stream.root}/history", f"{stream.root}/snapshots",
+                          f"{stream.root}/checkpoint", trigger={"availableNow": True})
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", with_files)
+    root, (folder, (day,)) = f"{stream.root}/history", history_days(stream)
+    files = glob.glob(f"{folder}/*/batch=*/*.orc")
+    assert len(files) == (3 if small_file else 1)
+    assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+    assert rows(stream.history("cab_h").drop("loadtime")) == ordered(cabs)
+    fg.compact_history(spark, root, "cust_h", day, grace_seconds=0)
+    assert len(glob.glob(f"{folder}/*/batch=*/*.orc")) == 1
+    assert rows(stream.history("cust_h").drop("loadtime")) == ordered(sent)
+    assert plans and not any("Exchange" in x for x in plans)
+    assert not os.listdir(f"{root}/_incoming")
+    # only the stream's own session opens several files at once
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_catalog_tables_over_restarts_and_retries(spark, stream):
     tables = {CUSTOMER_TOPIC: "cust_sql", "other": "other_sql"}
     try:

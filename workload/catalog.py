@@ -201,7 +201,7 @@ def run_stream(spark: SparkSession, sf_dir: str) -> str:
     counts = fg.LoadCounts(spark)
     for wave in range(WAVES):
         arriving = messages(spark, sf_dir).where(F.col("wave") == wave).drop("wave")
-        arriving.write.mode("append").parquet(f"{root}/inbox")
+        arriving.write.mode("append").option("compression", "zstd").parquet(f"{root}/inbox")
         stream = spark.readStream.schema(schemas.STREAM_RECORD).parquet(f"{root}/inbox")
         query = fg.ingest(
             stream,
@@ -224,7 +224,7 @@ def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     time and has its tables in a text."""
     root = scratch_dir(spark, "interval")
     arriving = messages(spark, sf_dir).where(F.col("topic") != TRIP_TOPIC).drop("wave")
-    arriving.write.parquet(f"{root}/inbox")
+    arriving.write.option("compression", "zstd").parquet(f"{root}/inbox")
     query = fg.ingest(
         record_files(spark, f"{root}/inbox", max_files=4),
         "#".join(f"{topic}|{table}" for topic, table in TOPIC_TABLES.items()),
